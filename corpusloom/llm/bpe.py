@@ -60,9 +60,9 @@ class PairIndex:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             a, b, ab = vocab[left], vocab[right], vocab[left + right]
             self.rank[a, b] = rank, ab
-            if max(made.get(a, -1), made.get(b, -1)) >= rank or ab in made:
-                raise ValueError("a merge comes before the merges that make its parts: ascending ranks would not be exact")
-            made[ab] = rank
+            made.setdefault(ab, rank)
+        if len(made) < len(self.rank) or any(max(made.get(a, -1), made.get(b, -1)) >= rank for (a, b), (rank, _) in self.rank.items()):
+            raise ValueError("a merge comes before the merges that make its parts: ascending ranks would not be exact")
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
         vocab, rank_of = self.vocab, self.rank.get
