@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, fingerprints, mixing, near, rules, token_files
+from corpusloom.llm import bpe, fingerprints, mixing, near, phrases, rules, suffixes, token_files
 from corpusloom.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_substrings(documents(spark, sf_dir), length=400)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir), size=3, radius=3, seed=42)
 
@@ -32,6 +36,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(documents(spark, sf_dir), radius=3)
 
 
+def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.dedup_phrases(documents(spark, sf_dir), length=35)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), temper=0.5, epochs=1.0, seed="mix")
     return mixed.select("doc_id", "source", "text", F.col("mix_copy").cast("int").alias("copy"), F.col("mix_key").alias("shuffle_key"))
@@ -61,7 +69,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_token_files, op4_simhash_near_dedup, op6_fingerprints, op8_mixing, op9_quality_rules, op10_bpe]
+    named = [op1_token_files, op2_suffix_dedup, op4_simhash_near_dedup, op6_fingerprints, op7_phrase_dedup, op8_mixing, op9_quality_rules, op10_bpe]
     return {f.__name__: f for f in named}
 
 
