@@ -53,17 +53,18 @@ def shingle_votes(text: bytes, size: int, seed: int) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, size: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The id and ``bits`` (long) of each row."""
+def fingerprints(df: DataFrame, size: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text", with_hash: bool = False) -> DataFrame:
+    """``id`` and ``bits`` (long) of each row; ``with_hash`` adds ``th``, the text's ``xxhash64``."""
 
     def one():
         def batch(rows: pa.RecordBatch):
             bits = np.array([shingle_votes(t, size, seed) for t in text_bytes(rows.column(1))], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(bits)], names=["id", "bits"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(bits), *rows.columns[2:]], names=["id", "bits", "th"][: len(rows.columns)])
 
         return batch
 
-    return map_batches(df.select(F.col(id_column).cast("bigint").alias("id"), text_column), one, "id bigint, bits bigint")
+    own = [F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("th")] if with_hash else []
+    return map_batches(df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *own), one, "id bigint, bits bigint" + ", th bigint" * with_hash)
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
@@ -247,13 +248,29 @@ def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2) -> DataFrame:
     return rows.mapInArrow(compare, "u bigint, v bigint")
 
 
+def classes_of(rows: DataFrame, radius: int) -> DataFrame:
+    """``bits`` and the ``root`` and ``least`` id of its class for each distinct fingerprint of ``rows`` (``id``, ``bits``)."""
+    distinct = rows.groupBy("bits").agg(F.min("id").alias("least"))
+    roots = components(links(distinct, radius))
+    return written(distinct.join(roots, distinct["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("root")), "classes")
+
+
+def representatives(df: DataFrame, size: int = 3, radius: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each component, all columns: that of the smallest id (rows without an id last)."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    far = F.lit((1 << 63) - 1)
+    own = [F.coalesce(F.col(id_column).cast("bigint"), far).alias("_did"), F.xxhash64(text).alias("_th")]
+    rows = written(fingerprints(df, size, seed, id_column, text_column, with_hash=True), "simhash")
+    classes = classes_of(rows, radius)
+    chosen = rows.join(classes.select("bits", "root"), "bits").groupBy("root").agg(F.min(F.struct(F.coalesce("id", far).alias("_did"), F.col("th").alias("_th"))).alias("c")).select("c.*")
+    kept = df.select(F.struct(*df.columns).alias("_row"), *own).join(chosen.hint("shuffle_hash"), ["_did", "_th"], "left_semi")
+    return kept.groupBy("_did", "_th").agg(F.first("_row").alias("_row")).select("_row.*")
+
+
 def near_duplicates(df: DataFrame, size: int = 3, radius: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The id, ``fingerprint`` (hex) and ``component_id`` of each row."""
     rows = written(fingerprints(df, size, seed, id_column, text_column), "simhash")
-    distinct = rows.groupBy("bits").agg(F.min("id").alias("least"))
-    roots = components(links(distinct, radius))
-    classes = distinct.join(roots, distinct["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("root"))
-    classes = written(classes, "classes")
+    classes = classes_of(rows, radius)
     first = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     found = classes.join(first, "root").select("bits", "component_id")
     return rows.join(found, "bits").select(F.col("id").alias(id_column), F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")

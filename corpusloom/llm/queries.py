@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, fingerprints, mixing, near, phrases, rules, suffixes, token_files
+from corpusloom.llm import bpe, fingerprints, lines, mixing, nbsvm, near, phrases, rules, suffixes, token_files
 from corpusloom.llm.common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,10 +28,20 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_substrings(documents(spark, sf_dir), length=400)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    model = nbsvm.fitted(docs, labels.where(~nbsvm.held_out(labels["doc_id"])))
+    return nbsvm.scores(docs, model).select("doc_id", nbsvm.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir), size=3, radius=3, seed=42)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "line_stats.*")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(documents(spark, sf_dir), radius=3)
 
@@ -69,7 +79,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_token_files, op2_suffix_dedup, op4_simhash_near_dedup, op6_fingerprints, op7_phrase_dedup, op8_mixing, op9_quality_rules, op10_bpe]
+    named = [op1_token_files, op2_suffix_dedup, op3_quality_classifier, op4_simhash_near_dedup, op5_line_dedup, op6_fingerprints, op7_phrase_dedup, op8_mixing, op9_quality_rules, op10_bpe]
     return {f.__name__: f for f in named}
 
 
