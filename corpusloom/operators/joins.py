@@ -73,19 +73,19 @@ def rekeyed(rows: DataFrame, seeds: DataFrame, column: str, min_ratio: float = 0
     return rows.join(found, column, "left").withColumn("echoed", F.when(F.col("seed").isNotNull(), F.col(column))).withColumn(column, F.coalesce("seed", column)).drop("seed")
 
 
-def containing(texts: DataFrame, text: Column, phrases: DataFrame, phrase: str) -> DataFrame:
-    """Pairs of text and phrase where the text contains the phrase.
+def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase: str) -> DataFrame:
+    """``key`` and the columns of ``phrases`` for each text that contains the phrase; keys name texts.
 
-    Phrases meet texts by the first of their words that is whole on both sides, an equi join; phrases without one are
-    tried on all texts and must be few.
+    Phrases meet texts by an inner word, which is whole on both sides: an equi join of keys and words, without the
+    texts. Only the candidates' texts are searched. Phrases of one or two words are tried on all texts and must be few.
     """
     inner = F.filter(F.slice(F.split(phrase, " "), 2, F.greatest(F.size(F.split(phrase, " ")) - 2, F.lit(0))), lambda w: w != "")
-    anchored = phrases.withColumn("_w", F.try_element_at(inner, F.lit(1)))
-    words = texts.withColumn("_t", text).withColumn("_w", F.explode(F.array_distinct(F.split(text, " "))))
-    hits = words.join(small(anchored.where("_w is not null")), "_w").where(F.contains("_t", F.col(phrase)))
-    short = anchored.where("_w is null")
-    loose = texts.withColumn("_t", text).join(small(short), F.contains(F.col("_t"), F.col(phrase)))
-    columns = [*texts.columns, *phrases.columns]
+    anchored = phrases.withColumn("_w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w), w.alias("w"))))["w"])
+    words = texts.select(key, F.explode(F.array_distinct(F.split(text, " "))).alias("_w"))
+    candidates = words.join(small(anchored.where("_w is not null")), "_w").drop("_w")
+    hits = candidates.join(texts.select(key, F.col(text).alias("_t")), key).where(F.contains("_t", F.col(phrase)))
+    loose = texts.select(key, F.col(text).alias("_t")).join(small(anchored.where("_w is null")), F.contains(F.col("_t"), F.col(phrase)))
+    columns = [key, *phrases.columns]
     return hits.select(columns).unionByName(loose.select(columns))
 
 

@@ -55,9 +55,9 @@ def length_statistics(spark, sf):
     return table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.median("n_chars").alias("middle"), F.min("n_chars").alias("low"), F.max("n_chars").alias("high"), F.count_if(F.col("n_chars") < 500).alias("small"))
 
 
-@query("SELECT share, n_chars FROM (SELECT n_chars, row_number() OVER (ORDER BY n_chars) - 1 AS at FROM documents) r JOIN (SELECT share, floor(share * ((SELECT count(*) FROM documents) - 1))::BIGINT AS at FROM (VALUES (0.1::DOUBLE), (0.25), (0.5), (0.75)) s(share)) p USING (at)")
+@query("SELECT share, n_chars FROM (SELECT n_chars, row_number() OVER (ORDER BY n_chars) - 1 AS pos FROM documents) r JOIN (SELECT share, floor(share * ((SELECT count(*) FROM documents) - 1))::BIGINT AS pos FROM (VALUES (0.1::DOUBLE), (0.25), (0.5), (0.75)) s(share)) p USING (pos)")
 def quantile_picks(spark, sf):
-    return selection.capped_quantiles(table(spark, sf, "documents"), "n_chars", [0.1, 0.25, 0.5, 0.75])
+    return selection.lower_quantiles(table(spark, sf, "documents"), "n_chars", [0.1, 0.25, 0.5, 0.75])
 
 
 @query("SELECT lang, source, count(*) AS n FROM documents GROUP BY CUBE (lang, source) HAVING lang IS NOT NULL OR source IS NOT NULL")

@@ -136,7 +136,7 @@ def avoid_anti(spark, sf):
 @query("SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def benchmark_contamination(spark, sf):
     bench = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    return joins.containing(docs(spark, sf).select("doc_id", "text"), F.col("text"), bench, "phrase").select("item_id", "doc_id")
+    return joins.containing(docs(spark, sf), "doc_id", "text", bench, "phrase").select("item_id", "doc_id")
 
 
 @query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE contains(d.text, b.text))")
