@@ -153,3 +153,25 @@ def composed(preceding: Column, insert: Column, rules: dict[str, str]) -> Column
         value = F.when(F.upper(first) == first, rules[key].upper()).otherwise(rules[key])
         out = out.when(F.lower(typed).endswith(key), F.struct(F.lit(len(key) - 1).alias("delete"), value.alias("insert")))
     return out.otherwise(F.struct(F.lit(0).alias("delete"), insert.alias("insert")))
+
+
+def row_category(row_category: Column, last_message: Column) -> Column:
+    """The category of a row, else that of the JSON in its last message, else ``none``."""
+    return F.coalesce(row_category, F.try_variant_get(F.try_parse_json(last_message), "$.category", "string"), F.lit("none"))
+
+
+def price_per_million(price: Column) -> Column:
+    """A price for one token as text for a million; ``?`` if it is no number."""
+    number = price.try_cast("double")
+    return F.when(number.isNotNull(), F.format_string("$%.2f", number * 1_000_000)).otherwise("?")
+
+
+def listed_lines(reply: Column) -> Column:
+    """Lines of a reply without quotes and list marks; empty ones go."""
+    lines = F.transform(F.split(reply, r"\r?\n"), lambda x: F.regexp_replace(F.btrim(F.trim(x), F.lit('"')), r"^[0-9.\- ]+", ""))
+    return F.filter(lines, lambda x: x != "")
+
+
+def candidate_bullets(translation: Column, note: Column) -> Column:
+    """One candidate as a line of a prompt."""
+    return F.format_string('- translation: "%s" | nuance_note: "%s"', translation, F.coalesce(note, F.lit("")))
