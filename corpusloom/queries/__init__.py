@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from corpusloom.queries import events_queries, inline_queries, more_queries, report_queries, row_queries, state_queries  # noqa: F401
 from corpusloom.registry import QUERIES, SQL, Query
+from corpusloom.shipping import shipped
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: shipped(f) for name, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
