@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import bpe, lines, mixing, nbsvm, near
 from corpusloom.llm.common import documents, written
 from corpusloom.llm.queries import tokenizer_path
+from corpusloom.shipping import shipped
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, tokenizer_path())
 
 
-STAGES = [("quality classifier", quality), ("line dedup", line_dedup), ("near dedup", near_dedup), ("source mixing", mix_sources), ("bpe", encode)]
+STAGES = [(name, shipped(f)) for name, f in (("quality classifier", quality), ("line dedup", line_dedup), ("near dedup", near_dedup), ("source mixing", mix_sources), ("bpe", encode))]
 
 #: The classifier and the tokenizer have no SQL form.
 ORACLE_SQL = None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, fingerprints, lines, mixing, nbsvm, near, phrases, rules, suffixes, token_files
 from corpusloom.llm.common import documents
+from corpusloom.shipping import shipped
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -80,7 +81,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [op1_token_files, op2_suffix_dedup, op3_quality_classifier, op4_simhash_near_dedup, op5_line_dedup, op6_fingerprints, op7_phrase_dedup, op8_mixing, op9_quality_rules, op10_bpe]
-    return {f.__name__: f for f in named}
+    return {f.__name__: shipped(f) for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
