@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,12 +65,14 @@ def rekeyed(rows: DataFrame, seeds: DataFrame, column: str, min_ratio: float = 0
     rest = odd.join(keys, "norm", "left_anti")
     # a ratio over r needs 2 * min(len) / (len + len) > r; lengths differ by a factor of (2 - r) / r at most
     reach = (2 - (min_ratio - margin)) / (min_ratio - margin)
-    step = float(__import__("math").log(reach))
+    step = math.log(reach)
     bucket = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1))) / step).cast("int")
     left = rest.withColumn("_b", F.explode(F.array(*[bucket("norm") + k for k in (-1, 0, 1)]))).withColumnRenamed("norm", "_n")
     near = left.join(keys.withColumn("_b", bucket("norm")), "_b").withColumn("ratio", udfs.sequence_ratio("_n", "norm"))
-    ranked = near.groupBy(column).agg(F.max(F.struct("ratio", "seed")).alias("best"), F.sort_array(F.collect_list("ratio"), False).alias("ratios"))
-    close = ranked.where((F.col("best.ratio") >= min_ratio) & (F.col("best.ratio") - F.coalesce(F.get("ratios", 1), F.lit(0.0)) >= margin)).select(column, "best.seed")
+    w = Window.partitionBy(column).orderBy(F.col("ratio").desc(), F.col("seed").desc())
+    two = near.select(column, "ratio", "seed", F.row_number().over(w).alias("_rn")).where("_rn <= 2")
+    ranked = two.groupBy(column).agg(F.min_by("seed", "_rn").alias("seed"), F.max("ratio").alias("best"), F.max(F.when(F.col("_rn") == 2, F.col("ratio"))).alias("next"))
+    close = ranked.where((F.col("best") >= min_ratio) & (F.col("best") - F.coalesce("next", F.lit(0.0)) >= margin)).select(column, "seed")
     found = exact.union(close)
     return rows.join(found, column, "left").withColumn("echoed", F.when(F.col("seed").isNotNull(), F.col(column))).withColumn(column, F.coalesce("seed", column)).drop("seed")
 
