@@ -19,6 +19,8 @@ import heapq
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -41,12 +43,13 @@ class Memo:
         """A dict that holds all ``keys``; ``make`` gives the values of those not known."""
         if len(self.new) > self.size:
             self.old, self.new = self.new, {}
-        missing = keys - self.new.keys()
+        new, old = self.new, self.old
+        missing = [k for k in keys if k not in new]
         if missing:
-            known = missing & self.old.keys()
-            self.new.update((k, self.old[k]) for k in known)
-            fresh = list(missing - known)
-            self.new.update(zip(fresh, make(fresh), strict=True))
+            fresh = [k for k in missing if k not in old]
+            if len(fresh) < len(missing):
+                new.update((k, old[k]) for k in missing if k in old)
+            new.update(zip(fresh, make(fresh), strict=True))
         return self.new
 
 
@@ -145,29 +148,73 @@ class Codec:
             self.merger = PairIndex(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
             self.pieces = Memo(MEMO)
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.plain = re.compile(r"[A-Za-z]+")
         self.by_library = by_library
+        self.ends = np.zeros(max(self.names) + 1, dtype=np.int64)
+        suffix = model.get("end_of_word_suffix")
+        self.ends[[i for i, t in self.names.items() if suffix and t.endswith(suffix)]] = 1
+        # Letters that stay letters under any of the file's rules, then punctuation that starts no contraction and no
+        # added token: pieces that are known without asking the library for each chunk.
+        self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:;=?@\[-`{}~]*)")
+        self.letters: dict[int, str] = {}
+        self.known_rules = bool(suffix) and self.pieces_of("Éa!?") == [self.letter("É") + self.letter("a"), "!?"]
+
+    def pieces_of(self, text: str) -> list[str]:
+        if self.library.normalizer:
+            text = self.library.normalizer.normalize_str(text)
+        return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+
+    def letter(self, c: str) -> str:
+        """What the rules make of a letter."""
+        if (made := self.letters.get(ord(c))) is None:
+            (made,) = self.pieces_of(c)
+            self.letters[ord(c)] = made
+        return made
 
     def cut(self, chunk: str) -> list:
         """The pieces of a chunk of raw text: strings to be merged, and ids of added tokens."""
-        if self.plain.fullmatch(chunk):
-            return [chunk.lower()]
+        if self.known_rules and (found := self.simple.fullmatch(chunk)):
+            word = "".join(map(self.letter, found[1]))
+            return [word, found[2]] if found[2] else [word]
         out: list = []
         for part in self.split.split(chunk) if self.split else [chunk]:
             if part in self.added:
                 out.append(self.added[part])
             elif part:
-                out += [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))]
+                out += self.pieces_of(part)
         return out
 
     def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [c.decode() for c in chunks]
-        if self.by_library:
-            return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         cuts = [self.cut(t) for t in texts]
         ids = self.pieces.fill({p for cut in cuts for p in cut if isinstance(p, str)}, self.merger.encode)
         return [[i for p in cut for i in (ids[p] if isinstance(p, str) else (p,))] for cut in cuts]
 
+    def library_bytes(self, chunks: list[bytes], kind: str) -> list[bytes]:
+        """Ids of each chunk as bytes of ``kind``, encoded by the library.
+
+        Chunks of letters, perhaps with punctuation, are encoded together: each has one or two pieces, and the last id
+        of a piece is an end of word, so the ids are cut by counting ends. All others are encoded one by one.
+        """
+        texts = [c.decode() for c in chunks]
+        found = [self.simple.fullmatch(t) for t in texts] if self.known_rules else [None] * len(texts)
+        out = [b""] * len(texts)
+        alone = [i for i, f in enumerate(found) if not f]
+        for i, e in zip(alone, self.library.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, dtype=kind).tobytes()
+        together = [i for i, f in enumerate(found) if f]
+        for a in range(0, len(together), 1000):
+            some = together[a : a + 1000]
+            ids = np.array(self.library.encode_batch_fast([" ".join([texts[i] for i in some])], add_special_tokens=False)[0].ids, dtype=np.int64)
+            pieces = np.cumsum([2 if found[i][2] else 1 for i in some])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != pieces[-1] or ends[-1] != len(ids):
+                raise ValueError("the pieces of a chunk are not as expected")
+            data, width = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
+            cuts = [0, *(ends[pieces - 1] * width).tolist()]
+            for i, x, y in zip(some, cuts, cuts[1:], strict=False):
+                out[i] = data[x:y]
+        return out
+
     def decode(self, ids: Iterable[int]) -> str:
         """Without a decoder of its own a vocabulary's tokens are joined by one space."""
         return " ".join(self.names[i] for i in ids)
@@ -208,6 +255,8 @@ def encode_decode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text
     unsigned 32-bit integers) and ``decoded``. ``tokenizer`` is the path of a ``tokenizers`` JSON file on the driver.
     No shuffle: each task encodes the documents of its own partition.
     """
+    if sys.byteorder != "little" or array("I").itemsize != 4:
+        raise RuntimeError("ids are packed as little-endian 32-bit integers")
     spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
     key = df.schema[id_column]
     schema = f"`{id_column}` {key.dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -217,7 +266,7 @@ def encode_decode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text
         bpe, memo = codec(spec.value), Memo(MEMO)
 
         def make(chunks: list[bytes]) -> list[tuple[bytes, bytes]]:
-            return [(np.array(ids, dtype="<u4").tobytes(), bpe.decode(ids).encode()) for ids in bpe.encode_chunks(chunks)]
+            return [(array("I", ids).tobytes(), bpe.decode(ids).encode()) for ids in bpe.encode_chunks(chunks)]
 
         def batch(rows: pa.RecordBatch):
             texts = text_bytes(rows.column(1))

@@ -57,7 +57,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int | None = None, folde
         offsets, n = [np.zeros(1, dtype="<i8")], 0
 
         def make(chunks):
-            return [np.array(ids, dtype=kind).tobytes() for ids in bpe.encode_chunks(chunks)]
+            return bpe.library_bytes(chunks, kind)
 
         docs = 0
         with open(f"{name}.tok.{own}", "wb") as tok, open(f"{name}.doc.{own}", "wb") as doc:

@@ -48,6 +48,23 @@ def test_pair_index_updates_lists_across_pieces():
         bpe.PairIndex(vocab, ["ab ab", "a b"], "</w>")
 
 
+def test_chunks_equal_the_library_one_by_one(library):
+    import random
+
+    rng = random.Random(1)
+    letters = "abzAZéÉñßÜøŒœĿŀİıſƏǅǆɏªº"
+    marks = "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~0129\u0301\u00a0…"
+    chunks = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 9))) + "".join(rng.choice(marks) for _ in range(rng.choice([0, 0, 1, 2, 3]))) + rng.choice(["", "", "s", "t"]) for _ in range(4000)]
+    chunks += ["<|endoftext|>", "a<|endoftext|>", "x<|", "don't", "we'll", "ÇA", "İ", "ŉ", "ﬁ", "K"]
+    chunks = [c.encode() for c in {c for c in chunks if c}]
+    for by_library in (True, False):
+        bpe_codec = bpe.Codec(bpe.read_spec(PATH), by_library)
+        assert bpe_codec.known_rules
+        want = [library.encode(c.decode(), add_special_tokens=False).ids for c in chunks]
+        got = [np.frombuffer(b, "<u2").tolist() for b in bpe_codec.library_bytes(chunks, "<u2")] if by_library else bpe_codec.encode_chunks(chunks)
+        assert got == want
+
+
 def test_memo_is_bounded():
     memo = bpe.Memo(10)
     for i in range(0, 1000, 5):
