@@ -6,14 +6,15 @@ have equal anchors and windows are only compared with those of the same anchor s
 
 1. Every document is cut into contexts: a run of windows with one anchor. A row has the hashes of its anchor string
    and of its whole context, never text.
-2. Rows meet by anchor. An anchor string that occurs once ends the search for its windows. Contexts that occur twice
-   or more are whole repeats. What is left (the context differs, the anchor repeats) is open.
-3. Open contexts, and one of each whole repeat beside them, are cut from their documents and meet by anchor again, in
-   cells of bounded size, where a solver decides every window by its symbols.
+2. Rows meet by anchor, equal contexts counted as one. An anchor string that occurs once ends the search for its
+   windows.
+3. The distinct contexts of the other anchors are cut from a document each and meet by anchor again, in cells of
+   bounded size, where a solver decides every window by its symbols; a context that occurs several times has weight.
 4. An anchor with more text than a cell may hold is settled window by window: digests are counted with a partial
    count in each task, so no task gathers the group.
+5. What was found in a context holds for all its occurrences (same anchor hash and context hash, 128 bits together).
 
-Steps 1, 3 and the removal read each document once each; the texts are shuffled for the two joins by document.
+Steps 1 and 3 and the removal read each document once each; the texts are shuffled for the two joins by document.
 """
 
 from __future__ import annotations
@@ -26,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_batches, map_batches, text_bytes, written
+from corpusloom.llm.common import bounded_batches, dropped, map_batches, text_bytes, written
 
 #: Symbols scanned at a time, bytes of a cell, bytes of one anchor's contexts beyond which windows are settled alone.
-PIECE, CELL, HOT = 1 << 20, 4 << 20, 12 << 20
+PIECE, CELL, HOT = 1 << 20, 1 << 20, 2 << 20
 BASE = 0x9E3779B97F4A7C15
-WHOLE, OPEN, BESIDE = 1, 2, 3
 
 
 @dataclass(frozen=True)
@@ -133,79 +133,41 @@ def scan(df: DataFrame, view: View) -> DataFrame:
     return map_batches(df, one, "key bigint, ctx bigint, did bigint, th int, pos bigint")
 
 
-def classified(rows: DataFrame) -> DataFrame:
-    """The contexts whose anchor repeats, with their state: one pass over rows that are sorted by anchor and context."""
+def candidates(rows: DataFrame) -> DataFrame:
+    """The rows of anchors that occur more than once. Anchors are counted with a partial count in each task."""
+    anchors = rows.groupBy("key").agg(F.count("*").alias("total")).where("total > 1").select("key")
+    return rows.join(anchors, "key")
 
-    def states(key: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-        """0 (alone), WHOLE, OPEN or BESIDE of complete runs of keys."""
-        new_key = np.r_[True, key[1:] != key[:-1]]
-        new_ctx = new_key | np.r_[True, ctx[1:] != ctx[:-1]]
-        run, sub = np.cumsum(new_key) - 1, np.cumsum(new_ctx) - 1
-        same = np.bincount(sub)[sub]
-        several = np.bincount(run)[run] > 1
-        state = np.where(several, np.where(same > 1, WHOLE, OPEN), 0)
-        mixed = np.bincount(run, weights=state == OPEN)[run] > 0
-        state[(state == WHOLE) & mixed & new_ctx] = BESIDE
-        return state
 
-    def run(batches):
-        held: list[np.ndarray] = []
-
-        def out(t: np.ndarray):
-            state = states(t[0], t[1])
-            some = state > 0
-            if some.any():
-                yield pa.RecordBatch.from_arrays([pa.array(t[2][some]), pa.array(t[3][some].astype(np.int32)), pa.array(t[4][some]), pa.array(t[0][some]), pa.array(state[some].astype(np.int32))], names=["did", "th", "pos", "key", "state"])
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns]))
-            if held[-1][0][-1] == held[0][0][0] and sum(x.shape[1] for x in held) < 1 << 20:
-                continue
-            t = np.concatenate(held, axis=1)
-            cut = int(np.searchsorted(t[0] == t[0][-1], True))
-            if not cut:  # a very long run goes on in parts: what seems open in one is settled by its symbols
-                cut = t.shape[1] - 1
-            yield from out(t[:, :cut])
-            held = [t[:, cut:]]
-        if held:
-            yield from out(np.concatenate(held, axis=1))
-
-    bounded_batches(rows.sparkSession)
-    return rows.repartition("key").sortWithinPartitions("key", "ctx").mapInArrow(run, "did bigint, th int, pos bigint, key bigint, state int")
+def distinct_contexts(rows: DataFrame) -> DataFrame:
+    """``key``, ``ctx``, ``n`` (occurrences) and ``one`` (an occurrence) of each context; a context that is everywhere is a few rows of the shuffle."""
+    return rows.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "pos")).alias("one"))
 
 
 def cut_out(joined: DataFrame, view: View) -> DataFrame:
-    """The symbols of the open contexts and of those beside them."""
+    """The symbols of each distinct context, cut from the document of one occurrence; ``weight`` 2 stands for several."""
 
     def one():
         symbols = view.make()
 
         def batch(rows: pa.RecordBatch):
-            keys, data_out, docs, where, weight = [], [], [], [], []
-            for k, (text, marks) in enumerate(zip(text_bytes(rows.column(2)), rows.column(3).to_pylist(), strict=True)):
-                marks = [m for m in marks if m["state"] != WHOLE]
-                if not marks:
-                    continue
+            keys, ctxs, data_out, weight = [], [], [], []
+            for text, marks in zip(text_bytes(rows.column(0)), rows.column(1).to_pylist(), strict=True):
                 data, _, starts, ends = symbols(text)
                 for m in marks:
                     lo, more = divmod(m["pos"], view.length)
                     keys.append(m["key"])
+                    ctxs.append(m["ctx"])
                     data_out.append(view.cut(data, starts, ends, lo, lo + more + view.length))
-                    docs.append(k)
-                    where.append(m["pos"])
-                    weight.append(2 if m["state"] == BESIDE else 1)
-            if keys:
-                docs = pa.array(docs, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data_out, pa.binary()), rows.column(0).take(docs), rows.column(1).take(docs), pa.array(where, pa.int64()), pa.array(weight, pa.int32())], names=["key", "data", "did", "th", "pos", "weight"])
+                    weight.append(m["weight"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ctxs, pa.int64()), pa.array(data_out, pa.binary()), pa.array(weight, pa.int32())], names=["key", "ctx", "data", "weight"])
 
         return batch
 
-    return map_batches(joined, one, "key bigint, data binary, did bigint, th int, pos bigint, weight int")
+    return map_batches(joined, one, "key bigint, ctx bigint, data binary, weight int")
 
 
-FOUND = "loose boolean, did bigint, th int, a bigint, b bigint, d1 bigint, d2 bigint, weight int"
+FOUND = "loose boolean, key bigint, ctx bigint, a bigint, b bigint, d1 bigint, d2 bigint, weight int"
 
 
 def runs_of(flags: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -215,83 +177,80 @@ def runs_of(flags: np.ndarray, length: int) -> list[tuple[int, int]]:
 
 
 def settled(pieces: DataFrame, view: View) -> DataFrame:
-    """Covered symbols of each open context; windows of anchors beyond ``HOT`` bytes come as ``loose`` digests."""
+    """What the repeated windows of each distinct context cover, from its start; windows of anchors beyond ``HOT`` bytes come as ``loose`` digests."""
     bounded_batches(pieces.sparkSession)
 
     def run(batches):
         import xxhash
 
         symbols = view.make()
-        schema = pa.schema([("loose", pa.bool_()), ("did", pa.int64()), ("th", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("weight", pa.int32())])
-        done: list[dict] = []
-
-        def cell(rows: list[dict]) -> None:
-            flags = view.solve([r["data"] for r in rows], [r["weight"] for r in rows], view.length)
-            for r, f in zip(rows, flags, strict=True):
-                if r["weight"] == 1 and f.any():
-                    lo = r["pos"] // view.length
-                    done.extend({"loose": False, "did": r["did"], "th": r["th"], "a": lo + a, "b": lo + b} for a, b in runs_of(f, view.length))
-
-        def loose(r: dict) -> None:
-            data, values, starts, ends = symbols(r["data"])
-            lo = r["pos"] // view.length
+        schema = pa.schema([("loose", pa.bool_()), ("key", pa.int64()), ("ctx", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("weight", pa.int32())])
+        done: list[tuple] = []
+
+        def cell(rows: list[tuple]) -> None:
+            for (key, ctx, _, weight), flags in zip(rows, view.solve([r[2] for r in rows], [r[3] for r in rows], view.length), strict=True):
+                done.extend((False, key, ctx, a, b, None, None, weight) for a, b in runs_of(flags, view.length))
+
+        def loose(key: int, ctx: int, part: bytes, weight: int) -> None:
+            data, values, starts, ends = symbols(part)
             for i in range(len(values) - view.length + 1):
                 d = xxhash.xxh3_128_intdigest(view.cut(data, starts, ends, i, i + view.length))
                 d1, d2 = (x - (1 << 64) if x >> 63 else x for x in (d >> 64, d & ((1 << 64) - 1)))
-                done.append({"loose": True, "did": r["did"] if r["weight"] == 1 else None, "th": r["th"], "a": lo + i, "b": lo + i + view.length, "d1": d1, "d2": d2, "weight": r["weight"]})
+                done.append((True, key, ctx, i, i + view.length, d1, d2, weight))
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
+            done.clear()
+            return made
 
-        whole: list[dict] = []  # complete groups
-        group: list[dict] = []
-        size = in_group = 0
+        whole: list[tuple] = []  # complete groups
+        group: list[tuple] = []
+        now, size, in_group, hot = None, 0, 0, False
         for b in batches:
-            for r in b.to_pylist():
-                if group and group[-1]["key"] != r["key"]:
-                    if in_group <= HOT:
-                        whole += group
-                        size += in_group
-                    group, in_group = [], 0
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if row[0] != now:
+                    whole += group
+                    size += in_group
+                    now, group, in_group, hot = row[0], [], 0, False
                     if size >= CELL:
                         cell(whole)
                         whole, size = [], 0
-                before, in_group = in_group, in_group + len(r["data"])
-                if in_group > HOT:
-                    for x in group if before <= HOT else []:
-                        loose(x)
-                    loose(r)
-                    group = [{"key": r["key"]}]
+                if not hot and in_group + len(row[2]) > HOT:
+                    for x in group:
+                        loose(*x)
+                    group, in_group, hot = [], 0, True
+                if hot:
+                    loose(*row)
                 else:
-                    group.append(r)
+                    group.append(row)
+                    in_group += len(row[2])
                 if len(done) > 5000:
-                    yield pa.RecordBatch.from_pylist(done, schema=schema)
-                    done.clear()
-        if in_group <= HOT:
-            whole += group
+                    yield out()
+        whole += group
         if whole:
             cell(whole)
         if done:
-            yield pa.RecordBatch.from_pylist(done, schema=schema)
+            yield out()
 
     return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(run, FOUND)
 
 
 def repeated_spans(df: DataFrame, view: View) -> DataFrame:
     """``did``, ``th``, ``spans``: what the repeated windows of each document cover (symbols a..b-1); ``df``: ``did``, ``th``, ``text``."""
-    marks = written(classified(scan(df, view)), "marks")
-    by_doc = marks.groupBy("did", "th").agg(F.collect_list(F.struct("pos", "key", "state")).alias("marks"))
-    open_docs = by_doc.where(F.exists("marks", lambda m: m["state"] != WHOLE))
-    pieces = cut_out(df.join(open_docs.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "marks"), view)
+    every = written(scan(df, view), "scan")
+    rows = written(candidates(every).select(every.columns), "candidates")
+    dropped(every)
+    mark = F.struct("one.pos", "key", "ctx", F.least("n", F.lit(2)).cast("int").alias("weight"))
+    by_doc = distinct_contexts(rows).groupBy("one.did", "one.th").agg(F.collect_list(mark).alias("marks"))
+    pieces = cut_out(df.join(by_doc.hint("shuffle_hash"), ["did", "th"]).select("text", "marks"), view)
     found = written(settled(pieces, view), "found")
     loose = found.where("loose")
     digests = loose.groupBy("d1", "d2").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
-    length = view.length
-    lo = F.floor(F.col("pos") / length)
-    spans = [
-        marks.where(F.col("state") != OPEN).select("did", "th", lo.alias("a"), (lo + F.pmod("pos", F.lit(length)) + length).alias("b")),
-        found.where("not loose").select("did", "th", "a", "b"),
-        loose.where("did is not null").join(digests, ["d1", "d2"]).select("did", "th", "a", "b"),
-    ]
-    every = spans[0].unionByName(spans[1]).unionByName(spans[2])
-    return every.groupBy("did", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = found.where("not loose").select("key", "ctx", "a", "b").unionByName(loose.join(digests, ["d1", "d2"]).select("key", "ctx", "a", "b"))
+    spans = spans.groupBy("key", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    lo = F.floor(F.col("pos") / view.length)
+    each = rows.join(spans, ["key", "ctx"]).select("did", "th", F.explode("runs").alias("r"), lo.alias("lo")).select("did", "th", (F.col("lo") + F.col("r.a")).alias("a"), (F.col("lo") + F.col("r.b")).alias("b"))
+    return each.groupBy("did", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
