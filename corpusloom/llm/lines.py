@@ -11,10 +11,17 @@ execution may split: no task gathers the occurrences of a chunk.
 Defined cases: a null text counts as empty and stays null; lines end at ``\\n`` alone; a row whose id is null comes after all others;
 rows with the same id and text are one document, so a repeated row is no reason to remove anything; other columns pass
 through unchanged.
+
+``dedup_runs`` does not depend on where chunks end: a line goes if any run of lines around it with at least ``min_lines``
+lines that have text occurred before, as a contiguous run, in an earlier document or earlier in its own without overlap.
+It compares the smallest such runs by 128-bit BLAKE2b digests; a longer run is covered by those within it. The first
+occurrence of each distinct line always stays. Chunks are only counted there, for ``line_stats``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +52,95 @@ def chunks(lines: list[bytes], window: int, divisor: int, longest: int) -> list[
     return out
 
 
+def smallest_runs(lines: list[bytes], least: int) -> Iterator[tuple[int, int, bytes]]:
+    """First line, line after the last and digest of each run with ``least`` lines of text that has no such run within it.
+
+    Blank lines are kept with the run: those inside are part of it, and each at an end makes a run of its own, whose
+    digest continues the one of its neighbour, so that many blank lines cost no more than others.
+    """
+    from hashlib import blake2b
+
+    at = [i for i, x in enumerate(lines) if x.strip()]
+    for k in range(len(at) - least + 1):
+        a, b = at[k], at[k + least - 1] + 1
+        core = blake2b(b"\n".join(lines[a:b]), digest_size=16).digest()
+        yield a, b, core
+        digest = core
+        for i in range(a - 1, at[k - 1] if k else -1, -1):
+            digest = blake2b(lines[i] + b"\n" + digest, digest_size=16, person=b"before").digest()
+            yield i, b, digest
+        digest = core
+        for i in range(b, at[k + least] if k + least < len(at) else len(lines)):
+            digest = blake2b(lines[i] + b"\n" + digest, digest_size=16, person=b"after").digest()
+            yield a, i + 1, digest
+
+
+def dedup_runs(df: DataFrame, min_lines: int = 2, id_column: str = "doc_id", text_column: str = "text", window: int = 2, divisor: int = 4, longest: int = 64) -> DataFrame:
+    """All columns of ``df`` with every repeated run of lines cut from the text, and ``line_stats``: lines, chunks, chunks of which no line stays, removed lines."""
+    if "line_stats" in df.columns:
+        raise ValueError("column line_stats is in the input already")
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    key = [F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 63) - 1)).alias("did"), F.xxhash64(text).alias("th")]
+
+    def digests():
+        def batch(rows: pa.RecordBatch):
+            at, a, b, sums = [], [], [], []
+
+            def made() -> pa.RecordBatch:
+                pairs = np.frombuffer(b"".join(sums), dtype="<i8").reshape(-1, 2)
+                where = pa.array(at, pa.int64())
+                return pa.RecordBatch.from_arrays([rows.column(0).take(where), rows.column(1).take(where), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["did", "th", "a", "b", "d1", "d2"])
+
+            for k, data in enumerate(text_bytes(rows.column(2))):
+                for i, j, digest in smallest_runs(data.split(b"\n"), min_lines):
+                    at.append(k)
+                    a.append(i)
+                    b.append(j)
+                    sums.append(digest)
+                    if len(at) >= 1 << 16:
+                        yield made()
+                        for x in (at, a, b, sums):
+                            x.clear()
+            if at:
+                yield made()
+
+        return batch
+
+    seen = written(map_batches(df.select(*key, text.alias("text")), digests, "did bigint, th bigint, a int, b int, d1 bigint, d2 bigint"), "runs")
+    place = F.struct("did", "th", "a", "b")
+    first = seen.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("d1", "d2", "first")
+    same = (F.col("did") == F.col("first.did")) & (F.col("th") == F.col("first.th"))
+    later = seen.join(first, ["d1", "d2"]).where(~same | (F.col("a") >= F.col("first.b")))
+    gone = later.groupBy("did", "th").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+
+    whole = df.select(F.struct(*df.columns).alias("row"), *key).join(gone.hint("shuffle_hash"), ["did", "th"], "left").select("row.*", F.col("runs").alias("line_stats"))
+    names = list(df.columns)
+    at = names.index(text_column)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", line_stats struct<lines: bigint, chunks: bigint, removed_chunks: bigint, removed_lines: bigint>"
+
+    def clean():
+        def batch(rows: pa.RecordBatch):
+            texts, stats = [], []
+            for data, runs in zip(rows.column(at).cast(pa.binary()).to_pylist(), rows.column(len(names)).to_pylist(), strict=True):
+                lines = (data or b"").split(b"\n")
+                parts = chunks(lines, window, divisor, longest)
+                drop: set[int] = set()
+                for x in runs or ():
+                    drop.update(range(x["a"], x["b"]))
+                if drop:
+                    data = b"\n".join(x for i, x in enumerate(lines) if i not in drop)
+                texts.append(data)
+                cut = sum(drop.issuperset(range(a, b)) for a, b in parts) if drop else 0
+                stats.append({"lines": len(lines), "chunks": len(parts), "removed_chunks": cut, "removed_lines": len(drop)})
+            columns = list(rows.columns[:-1])
+            columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(stats, pa.struct([(k, pa.int64()) for k in ("lines", "chunks", "removed_chunks", "removed_lines")]))], names=[*names, "line_stats"])
+
+        return batch
+
+    return map_batches(whole, clean, schema)
+
+
 def dedup_lines(df: DataFrame, window: int = 2, divisor: int = 4, min_lines: int = 2, longest: int = 64, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of ``df`` with the text cleaned, and ``line_stats``: lines, chunks, removed chunks, removed lines."""
     import xxhash

@@ -40,7 +40,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "line_stats.*")
+    return lines.dedup_runs(documents(spark, sf_dir)).select("doc_id", "text", "line_stats.*")
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

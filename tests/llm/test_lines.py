@@ -57,3 +57,43 @@ def test_defined_cases(spark):
     rows = lines.dedup_lines(frame(spark, [body, body, None, body], [5, 5, 7, None])).collect()
     assert sorted((str(r.doc_id), r.text is not None and len(r.text) > 100) for r in rows) == [("5", True), ("5", True), ("7", False), ("None", False)]
     assert [r.text for r in rows if r.doc_id == 7] == [None]
+
+
+def slow_runs(ids, texts, least=2):
+    """Brute force over contiguous runs of lines, without chunks: lines in any run with ``least`` lines of text that occurred before."""
+    docs = [(i, t.split("\n")) for i, t in sorted(zip(ids, texts, strict=True))]
+    places, out = {}, {}
+    for i, rows in docs:
+        gone = set()
+        for a in range(len(rows)):
+            for b in range(a + 1, len(rows) + 1):
+                if sum(bool(x.strip()) for x in rows[a:b]) >= least:
+                    old = places.setdefault(tuple(rows[a:b]), (i, b))
+                    if old[0] != i or a >= old[1]:
+                        gone |= set(range(a, b))
+        out[i] = "\n".join(x for k, x in enumerate(rows) if k not in gone), len(gone)
+    return out
+
+
+def test_every_repeated_run_goes(spark):
+    texts = sample(random.Random(3), 40) + ["p\nq", "new\np\nq\nold", "x\nx\nx", "x\nx\nx\nx\nx", "k\n\n\nl\n\n", "0\n\nk\n\n\nl\n\n\n1", "\nk\n\n\nl", "r\ns\nr\ns\nr"]
+    ids = list(range(len(texts)))
+    for least in (2, 3):
+        got = {r.doc_id: (r.text, r.line_stats.removed_lines) for r in lines.dedup_runs(frame(spark, texts, ids), least).collect()}
+        assert got == slow_runs(ids, texts, least)
+    assert lines.dedup_runs(frame(spark, [])).collect() == []
+
+
+def test_op5_query_cuts_a_passage_inside_other_text(spark, tmp_path):
+    from corpusloom.llm import queries
+
+    texts = [f"a{k}\nshared one {k}\nshared two {k}\nb{k}" for k in range(20)] + [f"c{k}\nshared one {k}\nshared two {k}\nd{k}" for k in range(20)]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {k: t if k < 20 else f"c{k - 20}\nd{k - 20}" for k, t in enumerate(texts)}
+
+
+def test_runs_in_defined_cases(spark):
+    rows = lines.dedup_runs(frame(spark, ["a\nb\nc", "a\nb\nc", None, "b\nc"], [5, 5, 7, None])).collect()
+    assert sorted((str(r.doc_id), r.text) for r in rows if r.doc_id != 7) == [("5", "a\nb\nc"), ("5", "a\nb\nc"), ("None", "")]
+    assert [r.text for r in rows if r.doc_id == 7] == [None]
