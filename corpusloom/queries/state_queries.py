@@ -197,7 +197,7 @@ def closest_keys(spark, sf):
 
 @query()
 def gesture_thinning(spark, sf):
-    points = table(spark, sf, "events").where("user_id < 5").select("user_id", "event_id", (F.col("event_id") % 97).cast("double").alias("x"), F.col("value").alias("y"))
+    points = table(spark, sf, "events").select("user_id", "event_id", (F.col("event_id") % 97).cast("double").alias("x"), F.col("value").alias("y"))
     return gestures.thinned(points, "user_id", "event_id", 40.0)
 
 

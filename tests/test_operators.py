@@ -242,3 +242,18 @@ def test_streaming_history(spark, tmp_path):
     q = writers.appended(stream, f"{tmp_path}/out", f"{tmp_path}/cp").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.read.json(f"{tmp_path}/out").count() == src.count()
+
+
+def test_gesture_thinning_takes_all_users(spark, tmp_path):
+    from corpusloom.queries import queries
+
+    rows = [(k, k * 7 % 11, k * 37 % 101 / 1.0) for k in range(1, 200)] + [(300, 4000, 1.0)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, value double").write.parquet(f"{tmp_path}/events.parquet")
+    last, want = {}, []
+    for event, user, value in rows:
+        x, y = float(event % 97), value
+        if user not in last or (x - last[user][0]) ** 2 + (y - last[user][1]) ** 2 >= 1600:
+            last[user] = x, y
+            want.append((user, event, x, y))
+    got = queries()["gesture_thinning"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.select("user_id", "event_id", "x", "y").collect())) == sorted(want) and len(last) == 12
