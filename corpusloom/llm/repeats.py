@@ -130,7 +130,7 @@ def scan(df: DataFrame, view: View) -> DataFrame:
 
         return batch
 
-    return map_batches(df, one, "key bigint, ctx bigint, did bigint, th int, pos bigint")
+    return map_batches(df, one, "key bigint, ctx bigint, did bigint, th bigint, pos bigint")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 def keyed(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``did``, ``th`` (together they name a row's text), ``text``. Rows whose id is null get the id -1: results depend on the text alone."""
     text = F.coalesce(F.col(text_column), F.lit(""))
-    return df.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(-1).cast("bigint")).alias("did"), F.hash(text).alias("th"), text.alias("text"), F.col(id_column).alias("own"))
+    return df.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(-1).cast("bigint")).alias("did"), F.xxhash64(text).alias("th"), text.alias("text"), F.col(id_column).alias("own"))
 
 
 def removed(df: DataFrame, view: View, report: Callable, columns: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -107,3 +107,14 @@ def test_contract_lengths_on_documents(spark):
 def test_empty_tables(spark):
     assert suffixes.dedup_substrings(frame(spark, [])).collect() == []
     assert phrases.dedup_phrases(frame(spark, [])).collect() == []
+
+
+def test_texts_without_id_whose_short_hashes_collide(spark):
+    shared = "one two three four five six seven eight nine ten"
+    texts = [f"a8733 {shared}", f"x y z b43166 {shared} tail"]
+    df = frame(spark, texts, [None, None])
+    assert df.selectExpr("hash(text) as h").distinct().count() == 1
+    rows = phrases.dedup_phrases(df, 9).collect()
+    assert sorted((r.n_words, r.n_removed, r.kept_sha256) for r in rows) == sorted(word_rows(texts, 9))
+    rows = suffixes.dedup_substrings(df, 20).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted(byte_rows(texts, 20))
