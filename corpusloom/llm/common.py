@@ -17,10 +17,16 @@ WORD_SPACE = r"[ \t-\r]+"
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
+#: Keys with more than one in so many rows count as hot; there are at most so many of them, so they may be broadcast.
+HOT_KEYS = 1000
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a folder of our own only where it is unset."""
+    """The folder of ``spark.checkpoint.dir``, which all executors share; a folder of our own only where it is unset and driver and executors are one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that they share")
         root = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -50,6 +56,20 @@ def dropped(df: DataFrame) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def joined(rows: DataFrame, marks: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``marks``, which has one row for each key and the number of its ``rows`` in ``weight``.
+
+    A key that holds more than one in ``HOT_KEYS`` of all ``total`` rows is hot. There cannot be more than ``HOT_KEYS``
+    of them, so they are broadcast and their rows stay where they are; only rows of other keys are shuffled. ``marks``
+    and ``rows`` should be written tables, as both are read twice if a key is hot.
+    """
+    hot = marks.where(F.col(weight) * HOT_KEYS > total)
+    if not hot.head(1):
+        return rows.join(marks, keys, how)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(marks.where(F.col(weight) * HOT_KEYS <= total), keys, how)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of the session, where the user has not set bounds: long texts must not add up to gigabytes."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):

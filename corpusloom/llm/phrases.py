@@ -1,9 +1,10 @@
 """Substring dedup by words: repeated-phrase automata.
 
 Each word is removed that a window of ``length`` words covers whose word sequence also starts anywhere else. Recurring
-windows are confirmed by their words in shards of candidate text (see ``repeats``), joined to maximal passages and
-compiled into an Aho-Corasick automaton over word numbers, one for each shard; the text of the shard is streamed
-through it, and every occurrence of a passage marks its windows.
+passages (runs of recurring windows) are confirmed by their words in cells of candidate text (see ``repeats``) and
+sent, as text and without positions, to the shards of documents that have them. A shard is a block of documents. Its
+passages are compiled into one Aho-Corasick automaton over word numbers, and all its texts are streamed through: what
+the automaton finds is what is removed. A document with no passage of its own is streamed like any other.
 
 Defined cases: a null text has no words; repeated rows are occurrences of each other; rows whose id is null are
 treated alike; other columns are ignored.
@@ -12,41 +13,51 @@ treated alike; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import Memo
-from corpusloom.llm.repeats import View, removed, runs_of
+from corpusloom.llm.bpe import Memo, blocks
+from corpusloom.llm.repeats import View, reported
 
+#: Bytes of the texts of a shard.
+SHARD = 2 << 20
 
-def solve(parts: list[bytes], weights: list[int], length: int) -> list[np.ndarray]:
-    """For each part, which of its windows occur again; a part of weight 2 stands for several."""
+
+def solve(parts: list[bytes], weights: list[int], length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each part the classes of its windows, and the number of windows in each class; a part stands for as many as its weight."""
+    number: dict[bytes, int] = {}
+    known: dict[bytes, int] = {}
+    classes, each = [], []
+    for part, weight in zip(parts, weights, strict=True):
+        data = np.array([number.setdefault(w, len(number)) for w in part.split()], dtype="<u4").tobytes()
+        found = np.array([known.setdefault(data[i : i + 4 * length], len(known)) for i in range(0, len(data) - 4 * length + 1, 4)], dtype=np.int64)
+        classes.append(found)
+        each.append(np.full(len(found), weight, dtype=np.float64))
+    if not parts:
+        return [], np.zeros(0)
+    return classes, np.bincount(np.concatenate(classes), weights=np.concatenate(each), minlength=len(known))
+
+
+def located(texts: list[bytes], passages: set[bytes]) -> list[np.ndarray]:
+    """Which words of each text an occurrence of a passage covers."""
     import ahocorasick
 
+    words = [t.split() for t in texts]
+    flags = [np.zeros(len(w), dtype=bool) for w in words]
+    if not passages:
+        return flags
     number: dict[bytes, int] = {}
-    texts = [tuple([number.setdefault(w, len(number)) for w in p.split()]) for p in parts]
-    count: Counter = Counter()
-    packed = [np.array(t, dtype="<u4").tobytes() for t in texts]
-    for data, weight in zip(packed, weights, strict=True):
-        for i in range(0, len(data) - 4 * length + 1, 4):
-            count[data[i : i + 4 * length]] += weight
-    passages = set()
-    for words, data in zip(texts, packed, strict=True):
-        flags = np.array([count[data[i : i + 4 * length]] > 1 for i in range(0, len(data) - 4 * length + 1, 4)], dtype=bool)
-        passages.update(words[a:b] for a, b in runs_of(flags, length))
-    out = [np.zeros(max(0, len(t) - length + 1), dtype=bool) for t in texts]
-    if passages:
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for passage in passages:
-            automaton.add_word(passage, len(passage))
-        automaton.make_automaton()
-        for words, flags in zip(texts, out, strict=True):
-            if len(flags):
-                for end, n in automaton.iter(words):
-                    flags[end - n + 1 : end - length + 2] = True
-    return out
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+    for passage in passages:
+        automaton.add_word(tuple([number.setdefault(w, len(number) + 1) for w in passage.split(b" ")]))
+    automaton.make_automaton()
+    get = number.get
+    for some, covered in zip(words, flags, strict=True):
+        for end, n in automaton.iter(tuple([get(w, 0) for w in some])):
+            covered[end - n + 1 : end + 1] = True
+    return flags
 
 
 def word_symbols():
@@ -67,20 +78,34 @@ def word_symbols():
 
 
 def word_view(length: int) -> View:
-    return View(length, min(8, length), word_symbols, solve)
+    return View(length, min(8, length), word_symbols, solve, scale=7, with_data=True)
+
+
+def passages_of(each: DataFrame) -> DataFrame:
+    """``did``, ``th``, ``found``: the passages of each document, as text."""
+    return each.groupBy("did", "th").agg(F.collect_set("r.data").alias("found"))
 
 
 def dedup_phrases(df: DataFrame, length: int = 35, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The id, ``n_words``, ``n_removed``, ``kept_sha256``; ``with_text`` adds ``kept`` (the kept words, joined by a space)."""
 
-    def report(text: bytes, runs: list[tuple[int, int]]):
+    def row(text: bytes, covered: np.ndarray):
         words = text.split()
-        at, out = 0, []
-        for a, b in runs:
-            out += words[at:a]
-            at = b
-        out += words[at:]
-        kept = b" ".join(out)
-        return (len(words), len(words) - len(out), hashlib.sha256(kept).hexdigest(), kept.decode())
-
-    return removed(df, word_view(length), report, "n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text, id_column, text_column)
+        if covered.any():
+            kept = [words[i] for i in np.flatnonzero(~covered).tolist()]
+        else:
+            kept = words
+        joined = b" ".join(kept)
+        return (len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode())
+
+    def make():
+        def shard(texts: list[bytes], found: list):
+            made = []
+            for a, b in blocks(texts, SHARD):
+                passages = {p for some in found[a:b] for p in some or ()}
+                made += map(row, texts[a:b], located(texts[a:b], passages))
+            return made
+
+        return shard
+
+    return reported(df, word_view(length), passages_of, make, "n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text, id_column, text_column)

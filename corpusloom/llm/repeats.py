@@ -6,15 +6,15 @@ have equal anchors and windows are only compared with those of the same anchor s
 
 1. Every document is cut into contexts: a run of windows with one anchor. A row has the hashes of its anchor string
    and of its whole context, never text.
-2. Rows meet by anchor, equal contexts counted as one. An anchor string that occurs once ends the search for its
-   windows.
-3. The distinct contexts of the other anchors are cut from a document each and meet by anchor again, in cells of
-   bounded size, where a solver decides every window by its symbols; a context that occurs several times has weight.
-4. An anchor with more text than a cell may hold is settled window by window: digests are counted with a partial
-   count in each task, so no task gathers the group.
-5. What was found in a context holds for all its occurrences (same anchor hash and context hash, 128 bits together).
-
-Steps 1 and 3 and the removal read each document once each; the texts are shuffled for the two joins by document.
+2. Anchors are counted. An anchor string that occurs once ends the search for its windows. Of equal contexts (same
+   anchor hash and context hash, 128 bits together) one is cut from its document and stands for all of them.
+3. Contexts meet by anchor in cells of bounded size, where a solver puts windows of equal symbols into one class.
+4. An anchor with more text than a cell holds is split over several cells by the context's hash. The same solver runs
+   in each; what it leaves, one digest for each class, is counted over the cells of the anchor.
+5. What was found in a context holds for all its occurrences.
+
+Steps 1 and 2 and the removal read each document once each; the texts are shuffled for the two joins by document.
+Joins by anchor and by context keep hot keys where they are (``common.joined``).
 """
 
 from __future__ import annotations
@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_batches, dropped, map_batches, text_bytes, written
+from corpusloom.llm.common import bounded_batches, dropped, joined, map_batches, text_bytes, written
 
-#: Symbols scanned at a time, bytes of a cell, bytes of one anchor's contexts beyond which windows are settled alone.
-PIECE, CELL, HOT = 1 << 20, 1 << 20, 2 << 20
+#: Symbols scanned at a time, and bytes of a cell.
+PIECE, CELL = 1 << 20, 1 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -41,7 +41,11 @@ class View:
     length: int
     gram: int
     make: Callable[[], Callable[[bytes], tuple[bytes, np.ndarray, np.ndarray | None, np.ndarray | None]]]
-    solve: Callable[[list[bytes], list[int], int], list[np.ndarray]]
+    #: Classes of the windows of each part, and how many windows each class has; parts have weights.
+    solve: Callable[[list[bytes], list[int], int], tuple[list[np.ndarray], np.ndarray]]
+    #: Bytes of a symbol, roughly, and whether what is found comes with its text.
+    scale: int = 1
+    with_data: bool = False
 
     def cut(self, data: bytes, starts, ends, a: int, b: int) -> bytes:
         """Bytes of the symbols a..b-1."""
@@ -133,41 +137,29 @@ def scan(df: DataFrame, view: View) -> DataFrame:
     return map_batches(df, one, "key bigint, ctx bigint, did bigint, th bigint, pos bigint")
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """The rows of anchors that occur more than once. Anchors are counted with a partial count in each task."""
-    anchors = rows.groupBy("key").agg(F.count("*").alias("total")).where("total > 1").select("key")
-    return rows.join(anchors, "key")
-
-
-def distinct_contexts(rows: DataFrame) -> DataFrame:
-    """``key``, ``ctx``, ``n`` (occurrences) and ``one`` (an occurrence) of each context; a context that is everywhere is a few rows of the shuffle."""
-    return rows.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "pos")).alias("one"))
-
-
-def cut_out(joined: DataFrame, view: View) -> DataFrame:
+def cut_out(rows: DataFrame, view: View) -> DataFrame:
     """The symbols of each distinct context, cut from the document of one occurrence; ``weight`` 2 stands for several."""
 
     def one():
         symbols = view.make()
 
         def batch(rows: pa.RecordBatch):
-            keys, ctxs, data_out, weight = [], [], [], []
+            made, data_out = [], []
             for text, marks in zip(text_bytes(rows.column(0)), rows.column(1).to_pylist(), strict=True):
                 data, _, starts, ends = symbols(text)
                 for m in marks:
                     lo, more = divmod(m["pos"], view.length)
-                    keys.append(m["key"])
-                    ctxs.append(m["ctx"])
+                    made.append((m["key"], m["tile"], m["ctx"], m["weight"]))
                     data_out.append(view.cut(data, starts, ends, lo, lo + more + view.length))
-                    weight.append(m["weight"])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ctxs, pa.int64()), pa.array(data_out, pa.binary()), pa.array(weight, pa.int32())], names=["key", "ctx", "data", "weight"])
+            keys, tiles, ctxs, weights = zip(*made, strict=True) if made else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(tiles, pa.int32()), pa.array(ctxs, pa.int64()), pa.array(data_out, pa.binary()), pa.array(weights, pa.int32())], names=["key", "tile", "ctx", "data", "weight"])
 
         return batch
 
-    return map_batches(joined, one, "key bigint, ctx bigint, data binary, weight int")
+    return map_batches(rows, one, "key bigint, tile int, ctx bigint, data binary, weight int")
 
 
-FOUND = "loose boolean, key bigint, ctx bigint, a bigint, b bigint, d1 bigint, d2 bigint, weight int"
+FOUND = "loose boolean, key bigint, ctx bigint, a bigint, b bigint, d1 bigint, d2 bigint, n int, data binary"
 
 
 def runs_of(flags: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -177,80 +169,106 @@ def runs_of(flags: np.ndarray, length: int) -> list[tuple[int, int]]:
 
 
 def settled(pieces: DataFrame, view: View) -> DataFrame:
-    """What the repeated windows of each distinct context cover, from its start; windows of anchors beyond ``HOT`` bytes come as ``loose`` digests."""
+    """What the repeated windows of each distinct context cover, from its start.
+
+    The contexts of an anchor that is split over cells (``tile`` is not negative) also give ``loose`` rows: each class
+    of windows of the cell, by digest, with its first window.
+    """
     bounded_batches(pieces.sparkSession)
 
     def run(batches):
         import xxhash
 
         symbols = view.make()
-        schema = pa.schema([("loose", pa.bool_()), ("key", pa.int64()), ("ctx", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("weight", pa.int32())])
+        schema = pa.schema([("loose", pa.bool_()), ("key", pa.int64()), ("ctx", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int32()), ("data", pa.binary())])
         done: list[tuple] = []
 
-        def cell(rows: list[tuple]) -> None:
-            for (key, ctx, _, weight), flags in zip(rows, view.solve([r[2] for r in rows], [r[3] for r in rows], view.length), strict=True):
-                done.extend((False, key, ctx, a, b, None, None, weight) for a, b in runs_of(flags, view.length))
-
-        def loose(key: int, ctx: int, part: bytes, weight: int) -> None:
-            data, values, starts, ends = symbols(part)
-            for i in range(len(values) - view.length + 1):
-                d = xxhash.xxh3_128_intdigest(view.cut(data, starts, ends, i, i + view.length))
-                d1, d2 = (x - (1 << 64) if x >> 63 else x for x in (d >> 64, d & ((1 << 64) - 1)))
-                done.append((True, key, ctx, i, i + view.length, d1, d2, weight))
+        def cell(rows: list[tuple]):
+            classes, count = view.solve([r[3] for r in rows], [r[4] for r in rows], view.length)
+            met = np.zeros(len(count), dtype=bool)
+            for (key, tile, ctx, part, _), found in zip(rows, classes, strict=True):
+                runs = runs_of(count[found] > 1, view.length)
+                if tile >= 0 or (runs and view.with_data):
+                    data, _, starts, ends = symbols(part)
+                for a, b in runs:
+                    done.append((False, key, ctx, a, b, None, None, None, view.cut(data, starts, ends, a, b) if view.with_data else None))
+                if tile >= 0:
+                    for i in np.flatnonzero(~met[found]).tolist():
+                        c = found[i]
+                        if met[c]:
+                            continue
+                        met[c] = True
+                        body = view.cut(data, starts, ends, i, i + view.length)
+                        d = xxhash.xxh3_128_intdigest(body)
+                        d1, d2 = (x - (1 << 64) if x >> 63 else x for x in (d >> 64, d & ((1 << 64) - 1)))
+                        done.append((True, key, ctx, i, i + view.length, d1, d2, int(min(count[c], 2)), body if view.with_data else None))
+                if len(done) > 5000:
+                    yield out()
 
         def out() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
             done.clear()
             return made
 
-        whole: list[tuple] = []  # complete groups
-        group: list[tuple] = []
-        now, size, in_group, hot = None, 0, 0, False
+        held: list[tuple] = []
+        now, size = None, 0
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[0] != now:
-                    whole += group
-                    size += in_group
-                    now, group, in_group, hot = row[0], [], 0, False
+                if row[:2] != now:
                     if size >= CELL:
-                        cell(whole)
-                        whole, size = [], 0
-                if not hot and in_group + len(row[2]) > HOT:
-                    for x in group:
-                        loose(*x)
-                    group, in_group, hot = [], 0, True
-                if hot:
-                    loose(*row)
-                else:
-                    group.append(row)
-                    in_group += len(row[2])
-                if len(done) > 5000:
-                    yield out()
-        whole += group
-        if whole:
-            cell(whole)
+                        yield from cell(held)
+                        held, size = [], 0
+                    now = row[:2]
+                held.append(row)
+                size += len(row[3])
+        if held:
+            yield from cell(held)
         if done:
             yield out()
 
-    return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(run, FOUND)
+    return pieces.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(run, FOUND)
+
 
+def tiled(contexts: DataFrame, view: View) -> DataFrame:
+    """``contexts`` with ``tile``: the cell of the anchor's cells that a context goes to, -1 if the anchor has one."""
+    size = F.sum((F.pmod("one.pos", F.lit(view.length)) + view.length) * view.scale)
+    large = written(contexts.groupBy("key").agg(F.count("*").alias("total"), F.ceil(size / CELL).cast("int").alias("tiles")).where("tiles > 1"), "large")
+    if not large.head(1):
+        return contexts.withColumn("tile", F.lit(-1))
+    split = joined(contexts, large, ["key"], "total", contexts.count(), "left")
+    return split.select(*contexts.columns, F.when(F.col("tiles") > 1, F.pmod(F.xxhash64("ctx"), "tiles").cast("int")).otherwise(-1).alias("tile"))
 
-def repeated_spans(df: DataFrame, view: View) -> DataFrame:
-    """``did``, ``th``, ``spans``: what the repeated windows of each document cover (symbols a..b-1); ``df``: ``did``, ``th``, ``text``."""
+
+def repeated(df: DataFrame, view: View) -> DataFrame:
+    """What repeated windows cover in each occurrence of a context: ``did``, ``th``, ``lo`` (first symbol of the context) and ``r`` (symbols a..b-1 from there, and their ``data`` if the view has it). ``df``: ``did``, ``th``, ``text``.
+    """
     every = written(scan(df, view), "scan")
-    rows = written(candidates(every).select(every.columns), "candidates")
+    anchors = written(every.groupBy("key").agg(F.count("*").alias("total")).where("total > 1"), "anchors")
+    rows = written(joined(every, anchors, ["key"], "total", every.count()).select(every.columns), "candidates")
     dropped(every)
-    mark = F.struct("one.pos", "key", "ctx", F.least("n", F.lit(2)).cast("int").alias("weight"))
-    by_doc = distinct_contexts(rows).groupBy("one.did", "one.th").agg(F.collect_list(mark).alias("marks"))
+    dropped(anchors)
+    contexts = written(rows.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "pos")).alias("one")), "contexts")
+    mark = F.struct("one.pos", "key", "tile", "ctx", F.least("n", F.lit(2)).cast("int").alias("weight"))
+    by_doc = tiled(contexts, view).groupBy("one.did", "one.th").agg(F.collect_list(mark).alias("marks"))
     pieces = cut_out(df.join(by_doc.hint("shuffle_hash"), ["did", "th"]).select("text", "marks"), view)
     found = written(settled(pieces, view), "found")
-    loose = found.where("loose")
-    digests = loose.groupBy("d1", "d2").agg(F.sum("weight").alias("n")).where("n > 1").drop("n")
-    spans = found.where("not loose").select("key", "ctx", "a", "b").unionByName(loose.join(digests, ["d1", "d2"]).select("key", "ctx", "a", "b"))
-    spans = spans.groupBy("key", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    lo = F.floor(F.col("pos") / view.length)
-    each = rows.join(spans, ["key", "ctx"]).select("did", "th", F.explode("runs").alias("r"), lo.alias("lo")).select("did", "th", (F.col("lo") + F.col("r.a")).alias("a"), (F.col("lo") + F.col("r.b")).alias("b"))
-    return each.groupBy("did", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    run = F.struct("a", "b", "data")
+    spans = found.where("not loose").select("key", "ctx", run.alias("r"))
+    if found.where("loose").head(1):
+        loose = found.where("loose")
+        digests = written(loose.groupBy("key", "d1", "d2").agg(F.sum("n").alias("n"), F.count("*").alias("total")).where("n > 1").drop("n"), "digests")
+        spans = spans.unionByName(joined(loose.drop("n"), digests, ["key", "d1", "d2"], "total", loose.count()).select("key", "ctx", run.alias("r")))
+    marks = spans.groupBy("key", "ctx").agg(F.collect_list("r").alias("runs"))
+    marks = written(marks.join(contexts.select("key", "ctx", "n"), ["key", "ctx"]), "marks")
+    dropped(found)
+    each = joined(rows, marks, ["key", "ctx"], "n", rows.count())
+    return each.select("did", "th", F.floor(F.col("pos") / view.length).alias("lo"), F.explode("runs").alias("r"))
+
+
+def spans_of(each: DataFrame) -> DataFrame:
+    """``did``, ``th``, ``found``: what the repeated windows of each document cover (symbols a..b-1)."""
+    spans = each.select("did", "th", F.struct((F.col("lo") + F.col("r.a")).alias("a"), (F.col("lo") + F.col("r.b")).alias("b")).alias("s"))
+    return spans.groupBy("did", "th").agg(F.collect_list("s").alias("found"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -265,26 +283,37 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def keyed(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``did``, ``th`` (together they name a row's text), ``text``. Rows whose id is null get the id -1: results depend on the text alone."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    return df.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(-1).cast("bigint")).alias("did"), F.xxhash64(text).alias("th"), text.alias("text"), F.col(id_column).alias("own"))
+    """``did``, ``th`` (together they name a row's text), ``text`` and the id.
+
+    A row whose id is null has two 64-bit hashes of its text instead, the second one salted: 128 bits that no row with
+    an id can have but by chance, so results of such rows depend on their text alone.
+    """
+    text, own = F.coalesce(F.col(text_column), F.lit("")), F.col(id_column).cast("bigint")
+    none = F.lit("no id")
+    did = F.when(own.isNull(), F.xxhash64(none, text)).otherwise(own)
+    return df.select(did.alias("did"), F.when(own.isNull(), F.xxhash64(text, none)).otherwise(F.xxhash64(text)).alias("th"), text.alias("text"), F.col(id_column).alias("own"))
 
 
-def removed(df: DataFrame, view: View, report: Callable, columns: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``report(text, runs)`` of every row, with the runs of symbols that its repeated windows cover."""
+def reported(df: DataFrame, view: View, found_in: Callable, make: Callable, columns: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """A row for each row of ``df``: its id and ``columns``.
+
+    ``found_in(each)`` gathers what ``repeated`` found for each document as ``found``. ``make()`` gives the function of
+    a block of texts and their ``found`` that makes the rows.
+    """
     rows = keyed(df, id_column, text_column)
-    found = repeated_spans(rows.drop("own"), view)
-    joined = rows.join(found.hint("shuffle_hash"), ["did", "th"], "left").select("own", "text", "spans")
+    found = found_in(repeated(rows.drop("own"), view))
+    whole = rows.join(found.hint("shuffle_hash"), ["did", "th"], "left").select("own", "text", "found")
     schema = f"`{id_column}` {df.schema[id_column].dataType.simpleString()}, {columns}"
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    names, types = zip(*((c.split()[0], kinds[c.split()[1]]) for c in columns.split(", ")), strict=True)
 
     def one():
+        block = make()
+
         def batch(rows: pa.RecordBatch):
-            made = [report(t, merged(s)) for t, s in zip(text_bytes(rows.column(1)), rows.column(2).to_pylist(), strict=True)]
-            names = [c.strip().split()[0] for c in columns.split(",")]
-            kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-            types = [kinds[c.strip().split()[1]] for c in columns.split(",")]
+            made = block(text_bytes(rows.column(1)), rows.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([rows.column(0), *[pa.array([m[i] for m in made], t) for i, t in enumerate(types)]], names=[id_column, *names])
 
         return batch
 
-    return map_batches(joined, one, schema)
+    return map_batches(whole, one, schema)

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from corpusloom.llm import phrases, repeats, suffixes
+from corpusloom.llm import common, phrases, repeats, suffixes
 from tests.llm.util import frame, odd_texts
 
 DATA = "/root/testdata/sf0.001/documents.parquet"
@@ -51,19 +51,25 @@ def tangled(rng, n, words=6):
     return [*texts, "aaaa " * 60, "aaaa " * 61, "x" * 500, None, "", texts[0], texts[0]]
 
 
-def test_bucket_pointers_equal_brute_force():
+def test_bucket_pointers_equal_brute_force(monkeypatch):
     rng = random.Random(3)
     for length in (1, 5, 8, 9, 16, 30, 100):
         parts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 200))) for _ in range(15)]
-        parts += [parts[0], parts[1][20:150], b"a" * 150]
+        parts += [parts[0], parts[1][20:150], b"a" * 150, b"\0" * 40 + b"ab", b"b\0\0a" * 30, b"\0" * 33, b"b\0\0"]
         weights = [rng.choice([1, 2]) for _ in parts]
         count = Counter()
         for p, w in zip(parts, weights, strict=True):
             for i in range(len(p) - length + 1):
                 count[p[i : i + length]] += w
-        got = suffixes.solve(parts, weights, length)
-        for p, flags in zip(parts, got, strict=True):
-            assert flags.tolist() == [count[p[i : i + length]] > 1 for i in range(len(p) - length + 1)]
+        for q, some in ((8, 1 << 16), (2, 50)):
+            monkeypatch.setattr(suffixes, "GRAM", q)
+            monkeypatch.setattr(suffixes, "RANGE", some)
+            classes, n = suffixes.solve(parts, weights, length)
+            names = {}
+            for p, found in zip(parts, classes, strict=True):
+                windows = [p[i : i + length] for i in range(len(p) - length + 1)]
+                assert n[found].tolist() == [count[w] for w in windows]
+                assert all(names.setdefault(w, c) == c for w, c in zip(windows, found.tolist(), strict=True))
 
 
 def test_contexts_depend_on_the_window_alone(monkeypatch):
@@ -80,11 +86,12 @@ def test_contexts_depend_on_the_window_alone(monkeypatch):
     assert (np.repeat(at, hi - lo + 1) - np.arange(len(x) - 49) == anchor).all()
 
 
-@pytest.mark.parametrize("limits", [(repeats.CELL, repeats.HOT), (300, 10_000), (300, 0)])
-def test_both_against_brute_force(spark, monkeypatch, limits):
-    monkeypatch.setattr(repeats, "CELL", limits[0])
-    monkeypatch.setattr(repeats, "HOT", limits[1])
-    texts = tangled(random.Random(limits[0]), 60)
+@pytest.mark.parametrize("cell", [repeats.CELL, 5000, 300])
+def test_both_against_brute_force(spark, monkeypatch, cell):
+    """With small cells anchors are split over many of them; with one hot key in three rows and few hot keys, joins take both ways."""
+    monkeypatch.setattr(repeats, "CELL", cell)
+    monkeypatch.setattr(common, "HOT_KEYS", 1000 if cell > 300 else 20)
+    texts = tangled(random.Random(cell), 60)
     ids = [None if i == 4 else i % 40 for i in range(len(texts))]
     df = frame(spark, texts, ids).withColumnRenamed("source", "spans").withColumnRenamed("lang", "key")
     for length in (20, 64):
@@ -118,3 +125,20 @@ def test_texts_without_id_whose_short_hashes_collide(spark):
     assert sorted((r.n_words, r.n_removed, r.kept_sha256) for r in rows) == sorted(word_rows(texts, 9))
     rows = suffixes.dedup_substrings(df, 20).collect()
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted(byte_rows(texts, 20))
+
+
+def test_automata_locate_what_the_dictionary_has():
+    texts = [b"a b c d e", b"x a b c a b", b"", b"c d e c d"]
+    flags = phrases.located(texts, {b"a b c", b"c d"})
+    assert [f.astype(int).tolist() for f in flags] == [[1, 1, 1, 1, 0], [0, 1, 1, 1, 0, 0], [], [1, 1, 0, 1, 1]]
+    assert not any(f.any() for f in phrases.located(texts, set()))
+
+
+def test_many_rows_without_id(spark):
+    """100,000 rows without an id and one with the id -1: only true repeats go."""
+    texts = [f"w{i} alpha beta gamma delta epsilon zeta eta theta iota {i * 7}" for i in range(100_000)]
+    both = " ".join(f"z{i}" for i in range(40))
+    texts[5], texts[77_777] = f"{both} one", f"two {both}"
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("cast(null as bigint) doc_id", "text").union(spark.createDataFrame([(-1, f"minus {both}")], "doc_id bigint, text string"))
+    got = {r.n_removed: r["count"] for r in phrases.dedup_phrases(rows).groupBy("n_removed").count().collect()}
+    assert got == {0: len(texts) - 2, 40: 3}
