@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,48 +22,74 @@ def group_texts(cues: DataFrame, key: str, most: int) -> DataFrame:
     return spans.select(F.array_join(F.slice("t", F.col("i"), F.col("n")), " ").alias("text")).distinct()
 
 
+#: Ways into a cell, in the order that settles equal scores: groups (left cues, right cues), then a cue that is left out.
+GROUPS = [(a, b) for a in range(MOST_LEFT, 0, -1) for b in range(MOST_RIGHT, 0, -1)]
+WAYS = [*GROUPS, (1, 0), (0, 1)]
+
+
+def group_gains(left: np.ndarray, right: np.ndarray, a: int, b: int, i: int, cols: np.ndarray) -> np.ndarray:
+    """Time share less merge cost of joining ``a`` left cues from ``i`` on with ``b`` right cues from each of ``cols``; -inf where they lie apart."""
+    start, end = right[cols, 0], right[cols + b - 1, 1]
+    shared = np.minimum(left[i + a - 1, 1], end) - np.maximum(left[i, 0], start)
+    whole = np.maximum(left[i + a - 1, 1], end) - np.minimum(left[i, 0], start)
+    return np.where(shared + SLACK < 0, -np.inf, TIME * np.maximum(shared, 0.0) / np.maximum(whole, 1e-6) - MERGE * (a + b - 2))
+
+
 def best_path(left: list[tuple], right: list[tuple], likeness) -> list[tuple]:
-    """Steps (kind, left cues, right cues, score) of the best monotonic path; cues are (start, end, text)."""
-    n, m = len(left), len(right)
-    text = lambda cues, i, k: " ".join(c[2] for c in cues[i : i + k])
-    window = []
-    for i in range(n + 1):
-        t = left[i][0] if i < n else left[-1][1] if left else 0.0
-        first = next((j for j, c in enumerate(right) if c[0] >= t - BAND), m)
-        last = next((j for j, c in enumerate(right) if c[0] > t + BAND), m)
-        window.append((0 if i == 0 else first, m if i == n else last))
-    score: dict[tuple[int, int], float] = {(0, 0): 0.0}
-    origin: dict[tuple[int, int], tuple] = {}
+    """Steps (left cue, right cue, left cues, right cues, likeness) of the best monotonic path; cues are (start, end, text).
 
-    def offer(cell, value, step):
-        if value > score.get(cell, float("-inf")):
-            score[cell], origin[cell] = value, step
+    Rows of a score table are filled one after another, each from the rows before it: all columns of a way at once,
+    the best way by ``argmax``, and left-out right cues by a running maximum along the row. Only columns whose cue
+    starts within ``BAND`` of the row's cue pass their score on.
+    """
+    n, m = len(left), len(right)
+    times = [np.array([c[:2] for c in cues], dtype=float).reshape(-1, 2) for cues in (left, right)]
+    moments = np.r_[times[0][:, 0], times[0][-1:, 1] if n else 0.0]
+    first = np.maximum(np.searchsorted(times[1][:, 0], moments - BAND) - MOST_RIGHT, 0)
+    last = np.minimum(np.searchsorted(times[1][:, 0], moments + BAND, side="right"), m)
+    first[0], last[n] = 0, m
+    joined = [[[" ".join(c[2] for c in cues[i : i + k]) for k in range(most + 1)] for i in range(len(cues))] for cues, most in ((left, MOST_LEFT), (right, MOST_RIGHT))]
 
+    passing = np.full((n + 1, m + 1), -np.inf)  # scores that later cells may build on
+    way, alike = np.full((n + 1, m + 1), -1, dtype=np.int8), np.full((n + 1, m + 1), np.nan)
+    reach = -np.inf
     for i in range(n + 1):
-        for j in range(max(0, window[i][0] - MOST_RIGHT), min(m, window[i][1]) + 1):
-            here = score.get((i, j))
-            if here is None:
+        offers, likes = np.full((len(GROUPS) + 1, m + 1), -np.inf), np.full((len(GROUPS), m + 1), np.nan)
+        for k, (a, b) in enumerate(GROUPS):
+            if i < a or m < b:
                 continue
-            if i < n:
-                offer((i + 1, j), here - SKIP, (i, j, 1, 0, None))
-            if j < m:
-                offer((i, j + 1), here - SKIP, (i, j, 0, 1, None))
-            for a in range(1, min(MOST_LEFT, n - i) + 1):
-                for b in range(1, min(MOST_RIGHT, m - j) + 1):
-                    begin, end = max(left[i][0], right[j][0]), min(left[i + a - 1][1], right[j + b - 1][1])
-                    if end + SLACK < begin:
-                        continue
-                    like = likeness(text(left, i, a), text(right, j, b))
-                    whole = max(left[i + a - 1][1], right[j + b - 1][1]) - min(left[i][0], right[j][0])
-                    offer((i + a, j + b), here + like + TIME * max(0.0, end - begin) / max(1e-6, whole) - MERGE * (a + b - 2), (i, j, a, b, like))
-    if (n, m) not in score:
+            gain = passing[i - a, : m - b + 1].copy()
+            cols = np.flatnonzero(np.isfinite(gain))
+            gain[cols] += group_gains(*times, a, b, i - a, cols)
+            cols = cols[np.isfinite(gain[cols])]
+            likes[k, cols + b] = [likeness(joined[0][i - a][a], joined[1][j][b]) for j in cols.tolist()]
+            offers[k, cols + b] = gain[cols] + likes[k, cols + b]
+        if i:
+            offers[-1] = passing[i - 1] - SKIP
+        chosen = offers.argmax(axis=0)
+        row = offers[chosen, np.arange(m + 1)]
+        if i == 0:
+            row[0] = 0.0
+        # A run of left-out right cues costs SKIP for each: the best start of a run, within the columns that pass on.
+        steps = SKIP * np.arange(m + 1)
+        run = np.full(m + 1, -np.inf)
+        run[first[i] : last[i] + 1] = np.maximum.accumulate((row + steps)[first[i] : last[i] + 1])
+        before = np.r_[-np.inf, run[:-1]] - steps
+        over = before > row + 1e-12
+        row = np.where(over, before, row)
+        way[i] = np.where(over, len(WAYS) - 1, np.where(np.isfinite(row), chosen, -1))
+        grouped = np.flatnonzero(~over & (chosen < len(GROUPS)))
+        alike[i, grouped] = likes[chosen[grouped], grouped]
+        passing[i, first[i] : last[i] + 1] = row[first[i] : last[i] + 1]
+        reach = row[m]
+    if not np.isfinite(reach):
         raise ValueError("the band is too narrow for these tracks")
-    steps, cell = [], (n, m)
-    while cell != (0, 0):
-        i, j, a, b, like = origin[cell]
-        steps.append((i, j, a, b, like))
-        cell = i, j
-    return steps[::-1]
+    path, i, j = [], n, m
+    while i or j:
+        a, b = WAYS[way[i, j]]
+        i, j, like = i - a, j - b, alike[i, j]
+        path.append((i, j, a, b, None if np.isnan(like) else float(like)))
+    return path[::-1]
 
 
 def align(left: DataFrame, right: DataFrame, likeness) -> DataFrame:

@@ -132,6 +132,61 @@ def test_alignment(spark):
     assert {r.text for r in alignment.group_texts(en, "video", 3).collect()} == {"ab", "c", "ab c"}
 
 
+def test_best_path_is_the_best_of_all_paths():
+    """Against a search over all monotonic paths of short tracks; paths of equal score may differ."""
+    import functools
+    import random
+
+    rng = random.Random(5)
+
+    def track(n, most):
+        at, cues = 0.0, []
+        for _ in range(n):
+            at += rng.choice([0.1, 1.0, 6.0])
+            cues.append((at, at + rng.uniform(0.5, 3), rng.choice("abc")))
+        return cues
+
+    def like(x, y):
+        return len(set(x) & set(y)) / len(set(x) | set(y))
+
+    def gain(left, right, i, j, a, b):
+        s, e = max(left[i][0], right[j][0]), min(left[i + a - 1][1], right[j + b - 1][1])
+        if e + alignment.SLACK < s:
+            return None
+        whole = max(left[i + a - 1][1], right[j + b - 1][1]) - min(left[i][0], right[j][0])
+        text = lambda cues, k, c: " ".join(x[2] for x in cues[k : k + c])
+        return like(text(left, i, a), text(right, j, b)) + alignment.TIME * max(0.0, e - s) / whole - alignment.MERGE * (a + b - 2)
+
+    for _ in range(25):
+        left, right = track(rng.randrange(6), 3), track(rng.randrange(7), 5)
+
+        @functools.cache
+        def best(i, j, left=tuple(left), right=tuple(right)):
+            if (i, j) == (len(left), len(right)):
+                return 0.0
+            found = []
+            if i < len(left):
+                found.append(best(i + 1, j) - alignment.SKIP)
+            if j < len(right):
+                found.append(best(i, j + 1) - alignment.SKIP)
+            for a in range(1, min(3, len(left) - i) + 1):
+                for b in range(1, min(5, len(right) - j) + 1):
+                    if (g := gain(left, right, i, j, a, b)) is not None:
+                        found.append(g + best(i + a, j + b))
+            return max(found)
+
+        path = alignment.best_path(left, right, like)
+        total = sum(gain(left, right, i, j, a, b) if a and b else -alignment.SKIP for i, j, a, b, _ in path)
+        assert abs(total - best(0, 0)) < 1e-9
+        assert sum(p[2] for p in path) == len(left) and sum(p[3] for p in path) == len(right)
+
+
+def test_tracks_far_apart_do_not_fit_the_band():
+    right = [(300.0 + k, 300.5 + k, "b") for k in range(20)]
+    with pytest.raises(ValueError):
+        alignment.best_path([(0.0, 1.0, "a"), (1000.0, 1001.0, "c")], right, lambda x, y: 0.0)
+
+
 def test_reports(spark):
     rows = spark.createDataFrame([(True, True), (True, False), (False, True), (False, False)], "g boolean, p boolean")
     r = reports.detection(rows, F.col("g"), F.col("p")).first()
