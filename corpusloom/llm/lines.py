@@ -1,21 +1,22 @@
-"""Line dedup: content-defined chunks of lines; chunks of several lines that occurred before are removed.
+"""Line dedup: content-defined chunks of lines; runs of several lines that occurred before are removed.
 
 A rolling hash over the hashes of ``window`` lines ends a chunk where it is a multiple of ``divisor``, so lines that
-are put in or taken out move only the boundaries near them. Chunks with at least ``min_lines`` lines that have text
-are compared over all documents: digests first, then the bytes of those whose digest repeats. The first occurrence
-(smallest id, then place) stays, all later ones go.
+are put in or taken out move only the boundaries near them; a chunk ends after ``longest`` lines in any case. Chunks
+with at least ``min_lines`` lines that have text are compared over all documents: digests first, then the bytes of
+those whose digest repeats. The first occurrence (smallest id, then place) stays, all later ones go.
 
-Hot chunks are counted with partial counts in each task, and compared by a join on digest and bytes that adaptive
-execution may split: no task gathers the occurrences of a chunk.
+A passage that is cut into a text need not hold a whole chunk, and sticks out of those it holds. So what the chunks
+left is searched on: the smallest runs of lines with ``min_lines`` lines of text that lie in no removed chunk, across
+chunk boundaries too, are compared by 128-bit BLAKE2b digests. Together a line goes if, and only if, any run of lines
+around it with at least ``min_lines`` lines that have text occurred before, as a contiguous run, in an earlier document
+or earlier in its own without overlap. The first occurrence of each distinct line always stays.
+
+Hot chunks and runs are counted with partial counts in each task, and their rows stay where they are in the joins
+(``common.joined``): no task gathers the occurrences of one.
 
 Defined cases: a null text counts as empty and stays null; lines end at ``\\n`` alone; a row whose id is null comes after all others;
 rows with the same id and text are one document, so a repeated row is no reason to remove anything; other columns pass
 through unchanged.
-
-``dedup_runs`` does not depend on where chunks end: a line goes if any run of lines around it with at least ``min_lines``
-lines that have text occurred before, as a contiguous run, in an earlier document or earlier in its own without overlap.
-It compares the smallest such runs by 128-bit BLAKE2b digests; a longer run is covered by those within it. The first
-occurrence of each distinct line always stays. Chunks are only counted there, for ``line_stats``.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_batches, text_bytes, written
+from corpusloom.llm.common import joined, map_batches, text_bytes, written
 
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+#: Bytes of a chunk beyond which it is not broadcast, however often it occurs.
+LIGHT = 1 << 16
 
 
 def chunks(lines: list[bytes], window: int, divisor: int, longest: int) -> list[tuple[int, int]]:
@@ -75,43 +78,83 @@ def smallest_runs(lines: list[bytes], least: int) -> Iterator[tuple[int, int, by
             yield a, i + 1, digest
 
 
-def dedup_runs(df: DataFrame, min_lines: int = 2, id_column: str = "doc_id", text_column: str = "text", window: int = 2, divisor: int = 4, longest: int = 64) -> DataFrame:
+def dedup_lines(df: DataFrame, window: int = 2, divisor: int = 4, min_lines: int = 2, longest: int = 64, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of ``df`` with every repeated run of lines cut from the text, and ``line_stats``: lines, chunks, chunks of which no line stays, removed lines."""
     if "line_stats" in df.columns:
         raise ValueError("column line_stats is in the input already")
     text = F.coalesce(F.col(text_column), F.lit(""))
     key = [F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 63) - 1)).alias("did"), F.xxhash64(text).alias("th")]
+    docs = df.select(*key, text.alias("text"))
 
     def digests():
+        from hashlib import blake2b
+
         def batch(rows: pa.RecordBatch):
-            at, a, b, sums = [], [], [], []
+            at, chunk, whole, a, b, sums = [], [], [], [], [], []
 
             def made() -> pa.RecordBatch:
                 pairs = np.frombuffer(b"".join(sums), dtype="<i8").reshape(-1, 2)
                 where = pa.array(at, pa.int64())
-                return pa.RecordBatch.from_arrays([rows.column(0).take(where), rows.column(1).take(where), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["did", "th", "a", "b", "d1", "d2"])
+                columns = [rows.column(0).take(where), rows.column(1).take(where), pa.array(chunk, pa.int32()), pa.array(whole, pa.bool_()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())]
+                return pa.RecordBatch.from_arrays(columns, names=["did", "th", "chunk", "whole", "a", "b", "d1", "d2"])
 
             for k, data in enumerate(text_bytes(rows.column(2))):
-                for i, j, digest in smallest_runs(data.split(b"\n"), min_lines):
+                lines = data.split(b"\n")
+                if sum(1 for x in lines if x.strip()) < min_lines:
+                    continue
+                parts = chunks(lines, window, divisor, longest)
+                own = [no for no, (i, j) in enumerate(parts) for _ in range(i, j)]
+                found = [(no, True, i, j, blake2b(b"\n".join(lines[i:j]), digest_size=16).digest()) for no, (i, j) in enumerate(parts) if sum(1 for x in lines[i:j] if x.strip()) >= min_lines]
+                found += [(own[i] if own[i] == own[j - 1] else -1, False, i, j, digest) for i, j, digest in smallest_runs(lines, min_lines)]
+                for row in found:
                     at.append(k)
-                    a.append(i)
-                    b.append(j)
-                    sums.append(digest)
-                    if len(at) >= 1 << 16:
-                        yield made()
-                        for x in (at, a, b, sums):
-                            x.clear()
+                    for out, x in zip((chunk, whole, a, b, sums), row, strict=True):
+                        out.append(x)
+                if len(at) >= 1 << 16:
+                    yield made()
+                    for out in (at, chunk, whole, a, b, sums):
+                        out.clear()
             if at:
                 yield made()
 
         return batch
 
-    seen = written(map_batches(df.select(*key, text.alias("text")), digests, "did bigint, th bigint, a int, b int, d1 bigint, d2 bigint"), "runs")
+    seen = written(map_batches(docs, digests, "did bigint, th bigint, chunk int, whole boolean, a int, b int, d1 bigint, d2 bigint"), "lines")
+    whole = seen.where("whole").select("did", "th", "chunk", "a", "b", "d1", "d2")
+    twice = written(whole.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1"), "twice")
+    marks = joined(whole, twice, ["d1", "d2"], "n", whole.count()).groupBy("did", "th").agg(F.collect_set(F.struct("chunk", "a", "b")).alias("marks"))
+
+    def bodies():
+        def batch(rows: pa.RecordBatch):
+            at, body = [], []
+            where = {"chunk": [], "a": [], "b": []}
+            for k, (data, some) in enumerate(zip(text_bytes(rows.column(2)), rows.column(3).to_pylist(), strict=True)):
+                lines = data.split(b"\n")
+                for m in some:
+                    at.append(k)
+                    body.append(b"\n".join(lines[m["a"] : m["b"]]))
+                    for name, out in where.items():
+                        out.append(m[name])
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), *[pa.array(x, pa.int32()) for x in where.values()], pa.array(body, pa.binary())], names=["did", "th", *where, "body"])
+
+        return batch
+
+    repeated = docs.join(marks.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "marks")
+    found = written(map_batches(repeated, bodies, "did bigint, th bigint, chunk int, a int, b int, body binary"), "bodies")
+    light = F.when(F.length("body") <= LIGHT, F.count("*")).otherwise(0)  # heavy bodies are never broadcast
+    first = written(found.groupBy("body").agg(F.min(F.struct("did", "th", "chunk")).alias("first"), light.alias("n")), "firsts")
+    cut = joined(found, first, ["body"], "n", found.count()).where(F.struct("did", "th", "chunk") != F.col("first"))
+    cut = written(cut.select("did", "th", "chunk", "a", "b").distinct(), "cut")
+
+    runs = seen.where("not whole").join(cut.select("did", "th", "chunk"), ["did", "th", "chunk"], "left_anti").select("did", "th", "a", "b", "d1", "d2")
+    runs = written(runs, "runs")
     place = F.struct("did", "th", "a", "b")
-    first = seen.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("d1", "d2", "first")
+    start = runs.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where("first <> last").select("d1", "d2", "first", "n")
+    start = written(start, "starts")
     same = (F.col("did") == F.col("first.did")) & (F.col("th") == F.col("first.th"))
-    later = seen.join(first, ["d1", "d2"]).where(~same | (F.col("a") >= F.col("first.b")))
-    gone = later.groupBy("did", "th").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
+    later = joined(runs, start, ["d1", "d2"], "n", runs.count()).where(~same | (F.col("a") >= F.col("first.b")))
+    gone = later.select("did", "th", "a", "b").union(cut.select("did", "th", "a", "b")).groupBy("did", "th").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
 
     whole = df.select(F.struct(*df.columns).alias("row"), *key).join(gone.hint("shuffle_hash"), ["did", "th"], "left").select("row.*", F.col("runs").alias("line_stats"))
     names = list(df.columns)
@@ -139,88 +182,3 @@ def dedup_runs(df: DataFrame, min_lines: int = 2, id_column: str = "doc_id", tex
         return batch
 
     return map_batches(whole, clean, schema)
-
-
-def dedup_lines(df: DataFrame, window: int = 2, divisor: int = 4, min_lines: int = 2, longest: int = 64, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All columns of ``df`` with the text cleaned, and ``line_stats``: lines, chunks, removed chunks, removed lines."""
-    import xxhash
-
-    if "line_stats" in df.columns:
-        raise ValueError("column line_stats is in the input already")
-    far = F.lit((1 << 63) - 1)
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    key = [F.coalesce(F.col(id_column).cast("bigint"), far).alias("did"), F.xxhash64(text).alias("th")]
-    docs = df.select(*key, text.alias("text"))
-
-    def cut(data: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
-        lines = data.split(b"\n")
-        return lines, chunks(lines, window, divisor, longest)
-
-    def several(lines: list[bytes]) -> bool:
-        return sum(1 for x in lines if x.strip()) >= min_lines
-
-    def digests():
-        def batch(rows: pa.RecordBatch):
-            at, no, sums = [], [], []
-            for k, data in enumerate(text_bytes(rows.column(2))):
-                lines, parts = cut(data)
-                for i, (a, b) in enumerate(parts):
-                    if b - a >= min_lines and several(lines[a:b]):
-                        at.append(k)
-                        no.append(i)
-                        sums.append(xxhash.xxh3_64_intdigest(b"\n".join(lines[a:b])))
-            if at:
-                at = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), pa.array(no, pa.int32()), pa.array(np.array(sums, dtype=np.uint64).view(np.int64))], names=["did", "th", "no", "sum"])
-
-        return batch
-
-    seen = written(map_batches(docs, digests, "did bigint, th bigint, no int, sum bigint"), "chunks")
-    twice = seen.groupBy("sum").agg(F.count("*").alias("n")).where("n > 1").select("sum")
-    marks = seen.join(twice, "sum").groupBy("did", "th").agg(F.collect_set("no").alias("nos"))
-
-    def bodies():
-        def batch(rows: pa.RecordBatch):
-            at, no, body = [], [], []
-            for k, (data, nos) in enumerate(zip(text_bytes(rows.column(2)), rows.column(3).to_pylist(), strict=True)):
-                lines, parts = cut(data)
-                for i in nos:
-                    a, b = parts[i]
-                    at.append(k)
-                    no.append(i)
-                    body.append(b"\n".join(lines[a:b]))
-            if at:
-                at = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), pa.array(no, pa.int32()), pa.array(body, pa.binary())], names=["did", "th", "no", "body"])
-
-        return batch
-
-    repeated = docs.join(marks.hint("shuffle_hash"), ["did", "th"]).select("did", "th", "text", "nos")
-    found = written(map_batches(repeated, bodies, "did bigint, th bigint, no int, body binary"), "bodies")
-    first = found.groupBy("body").agg(F.min(F.struct("did", "th", "no")).alias("first"))
-    later = found.join(first, "body").where(F.struct("did", "th", "no") != F.col("first"))
-    gone = later.groupBy("did", "th").agg(F.collect_set("no").alias("nos"))
-
-    whole = df.select(F.struct(*df.columns).alias("row"), *key).join(gone.hint("shuffle_hash"), ["did", "th"], "left").select("row.*", F.col("nos").alias("line_stats"))
-    names = list(df.columns)
-    at = names.index(text_column)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", line_stats struct<lines: bigint, chunks: bigint, removed_chunks: bigint, removed_lines: bigint>"
-
-    def clean():
-        def batch(rows: pa.RecordBatch):
-            texts, stats = [], []
-            for data, nos in zip(rows.column(at).cast(pa.binary()).to_pylist(), rows.column(len(names)).to_pylist(), strict=True):
-                lines, parts = cut(data or b"")
-                drop = set(nos or ())
-                n = sum(parts[i][1] - parts[i][0] for i in drop)
-                if drop:
-                    data = b"\n".join(x for i, (a, b) in enumerate(parts) if i not in drop for x in lines[a:b])
-                texts.append(data)
-                stats.append({"lines": len(lines), "chunks": len(parts), "removed_chunks": len(drop), "removed_lines": n})
-            columns = list(rows.columns[:-1])
-            columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(stats, pa.struct([(k, pa.int64()) for k in ("lines", "chunks", "removed_chunks", "removed_lines")]))], names=[*names, "line_stats"])
-
-        return batch
-
-    return map_batches(whole, clean, schema)

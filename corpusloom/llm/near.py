@@ -20,15 +20,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_batches, map_batches, text_bytes, written
+from corpusloom.llm.common import bounded_batches, joined, map_batches, text_bytes, written
 from corpusloom.llm.components import components
 
 BITS, WORDS = 64, 1024
 #: Members of a bucket beyond which it is split, and fingerprints that are compared together.
 TILE, TOGETHER = 16_384, 1 << 17
+#: Shingles of a set beyond which it is not broadcast.
+LIGHT = 1 << 13
 
 
 def shingle_votes(text: bytes, size: int, seed: int) -> int:
@@ -141,7 +143,7 @@ def packed_lanes(flags: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+def joined_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
     """Merge the labels (smallest position) of linked lanes, in place."""
     while len(i):
         a, b = label[i], label[j]
@@ -154,39 +156,49 @@ def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = label[label]
 
 
-def linked(values: np.ndarray, bucket: np.ndarray, radius: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (positions) of a spanning forest of the links within the buckets of ``values``.
+def linked(values: np.ndarray, bucket: np.ndarray, radius: int, side: np.ndarray | None = None, group: np.ndarray | None = None, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions, all within ``radius``) that connect what the links within the buckets of ``values`` connect.
 
-    ``bucket`` ascends. With ``side``, only lanes of different sides of a bucket are compared (two tiles).
+    ``bucket`` ascends. With ``side``, only lanes of different sides of a bucket are compared (two tiles); with
+    ``group``, only lanes of different groups. Lanes that are connected already are not compared again, unless
+    ``every`` link between groups is wanted.
     """
     n = len(values)
     label = np.arange(n)
+    if group is not None:
+        _, first, back = np.unique(group, return_index=True, return_inverse=True)
+        label = first[back]
     at = np.arange(n)  # positions of the lanes that are still compared
+    found = []
     shift = 1
     while len(at) > shift:
-        now, group = values[at], bucket[at]
+        now, own = values[at], bucket[at]
         planes = planes_of(now)
         words = planes.shape[1]
         for _ in range(max(8, shift // 4)):  # then leave out what is done
             if len(at) <= shift:
                 break
             flags = np.zeros(len(at), dtype=bool)
-            flags[:-shift] = group[shift:] == group[:-shift]
+            flags[:-shift] = own[shift:] == own[:-shift]
             if not flags.any():
                 break
+            flags[:-shift] &= label[at[shift:]] != label[at[:-shift]]
             if side is not None:
                 flags[:-shift] &= side[at[shift:]] != side[at[:-shift]]
             hits = lane_numbers(within(planes, lambda b, s=shift, p=planes: shifted(p[b], s), packed_lanes(flags, words), radius), len(at))
-            joined(label, at[hits], at[hits + shift])
+            found.append((at[hits], at[hits + shift]))
+            if not every:
+                joined_labels(label, *found[-1])
             shift += 1
-        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         sizes = np.diff(np.r_[starts, len(at)])
         root = label[at]
         alike = np.minimum.reduceat(root, starts) == np.maximum.reduceat(root, starts)
         keep = np.repeat((sizes > shift) & ~alike, sizes)
         at = at[keep]
-    moved = np.flatnonzero(label != np.arange(n))
-    return moved, label[moved]
+    if not found:
+        return (np.zeros(0, dtype=np.int64),) * 2
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def bucket_masks(radius: int, agreeing: int) -> list[int]:
@@ -197,24 +209,29 @@ def bucket_masks(radius: int, agreeing: int) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in found]
 
 
-def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2) -> DataFrame:
-    """Edges ``u``, ``v`` (fingerprints) whose components are those of all pairs within ``radius``; ``distinct``: ``bits``.
+def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool = False, order: int = 0) -> DataFrame:
+    """Links ``u``, ``v`` whose components are those of all pairs within ``radius``.
 
-    With ``agreeing`` blocks of ``radius + agreeing`` a key has ``64 * agreeing / (radius + agreeing)`` bits: 2 suits
-    up to some hundred million distinct fingerprints, 3 more. Each setting finds every pair.
+    ``distinct`` has ``bits``, and perhaps ``node`` (named by the links; else the fingerprint) and ``label`` (only nodes
+    of different labels are compared). ``every`` gives all links between labels; another ``order`` connects the same by
+    other links. With ``agreeing`` blocks of
+    ``radius + agreeing`` a key has ``64 * agreeing / (radius + agreeing)`` bits; each setting finds every pair.
     """
     bounded_batches(distinct.sparkSession)
     masks = bucket_masks(radius, agreeing)
-    rows = distinct.select("bits", F.posexplode(F.array(*[F.col("bits").bitwiseAND(F.lit(m)) for m in masks])).alias("tab", "key"))
+    node = F.col("node") if "node" in distinct.columns else F.col("bits")
+    label = F.col("label") if "label" in distinct.columns else node
+    rows = distinct.select("bits", node.alias("node"), label.alias("label"))
+    rows = rows.select("*", F.posexplode(F.array(*[F.col("bits").bitwiseAND(F.lit(m)) for m in masks])).alias("tab", "key"))
     sizes = rows.groupBy("tab", "key").agg(F.count("*").alias("n")).where("n > 1")
     rows = rows.join(sizes, ["tab", "key"])
     tiles = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("bits"), tiles).cast("int")
+    own = F.pmod(F.xxhash64("node"), tiles).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    rows = rows.select("bits", "tab", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own")
+    rows = rows.select("bits", "tab", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "label")
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cell = ["tab", "key", "a", "b"]
-    rows = rows.repartition(parts, *cell).sortWithinPartitions(*cell)
+    rows = rows.repartition(parts, *cell).sortWithinPartitions(*cell, F.xxhash64("node", F.lit(order)))
 
     def compare(batches):
         held: list[np.ndarray] = []
@@ -222,13 +239,13 @@ def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2) -> DataFrame:
         def flush(table: np.ndarray):
             change = (table[1:, 1:5] != table[:-1, 1:5]).any(axis=1)
             bucket = np.r_[0, np.cumsum(change)]
-            values = np.ascontiguousarray(table[:, 0]).view(np.uint64)
             across = table[:, 3] != table[:, 4]
             for some in (~across, across):
                 if some.any():
-                    v = values[some]
-                    i, j = linked(v, bucket[some], radius, table[some, 5] if some is across else None)
-                    yield pa.RecordBatch.from_arrays([pa.array(v[i].view(np.int64)), pa.array(v[j].view(np.int64))], names=["u", "v"])
+                    part = table[some]
+                    values = np.ascontiguousarray(part[:, 0]).view(np.uint64)
+                    i, j = linked(values, bucket[some], radius, part[:, 5] if some is across else None, part[:, 7], every)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(part[i, 6], part[j, 6])), pa.array(np.maximum(part[i, 6], part[j, 6]))], names=["u", "v"])
 
         for rows_in in batches:
             table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in rows_in.columns], axis=1)
@@ -255,14 +272,98 @@ def classes_of(rows: DataFrame, radius: int) -> DataFrame:
     return written(distinct.join(roots, distinct["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("root")), "classes")
 
 
-def representatives(df: DataFrame, size: int = 3, radius: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component, all columns: that of the smallest id (rows without an id last)."""
+def shingle_set(text: bytes, size: int) -> np.ndarray:
+    """Distinct 64-bit hashes of a text's shingles of ``size`` words, A-Z in lower case; of all its words if there are fewer; none without words."""
+    import xxhash
+
+    words = text.lower().split()
+    n = max(len(words) - size + 1, 1 if words else 0)
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(words[i : i + size])) for i in range(n)), dtype=np.uint64, count=n)).view(np.int64)
+
+
+def shingle_sets(df: DataFrame, pairs: DataFrame, shingle: int, text: Column) -> DataFrame:
+    """``node`` and ``s`` (``shingle_set``) of the texts in ``pairs``."""
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+
+    def one():
+        def batch(rows: pa.RecordBatch):
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([shingle_set(t, shingle) for t in text_bytes(rows.column(1))], pa.list_(pa.int64()))], names=["node", "s"])
+
+        return batch
+
+    texts = df.select(F.xxhash64(text).alias("node"), text.alias("text"))
+    return map_batches(texts.join(ends.hint("shuffle_hash"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), one, "node bigint, s array<bigint>")
+
+
+def renamed(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """``pairs`` (``u``, ``v``) with each end replaced by its name; ``names`` has two columns, a node and its name."""
+    return pairs.join(names.toDF("u", "a"), "u").join(names.toDF("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The ``pairs`` (``u``, ``v``) whose ``sets`` (``node``, ``s``) have a Jaccard similarity of ``least``; two empty sets are alike.
+
+    A node with very many pairs keeps its pairs where they are (``common.joined``), if its set is not long.
+    """
+    total = pairs.count()
+
+    def side(name: str) -> DataFrame:
+        n = pairs.groupBy(F.col(name).alias("node")).agg(F.count("*").alias("n"))
+        weight = F.when(F.size("s") <= LIGHT, F.col("n")).otherwise(0)
+        return sets.join(n, "node").select(F.col("node").alias(name), F.col("s").alias(f"s_{name}"), weight.alias(f"n_{name}"))
+
+    both = joined(joined(pairs, side("u"), ["u"], "n_u", total), side("v"), ["v"], "n_v", total)
+    common = F.size(F.array_intersect("s_u", "s_v"))
+    whole = F.size("s_u") + F.size("s_v") - common
+    return both.where((whole == 0) | (common >= least * whole)).select("u", "v")
+
+
+def similar(df: DataFrame, least: float = 0.8, shingle: int = 5, size: int = 3, radius: int = 11, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``node`` (a text's ``xxhash64``) and ``root`` of each distinct text: connected by pairs of texts that are alike.
+
+    Two texts are alike if their sets of ``shingle``-word shingles have a Jaccard similarity of ``least``. Candidates are
+    pairs of SimHash fingerprints (of ``size``-word shingles) within ``radius``, found by the bit-sliced comparison; each
+    is confirmed by the sets. A round confirms as few candidates as connect everything; those that fail leave groups
+    apart, so rounds are repeated between groups as long as they join any, and at last every candidate between groups
+    is tried. Only groups with a candidate outside go on to the next round.
+    """
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = written(fingerprints(df, size, seed, id_column, text_column, with_hash=True), "simhash")
+    nodes = written(rows.groupBy(F.col("th").alias("node")).agg(F.min("bits").alias("bits")).withColumn("label", F.col("node")), "nodes")
+    every = nodes.select("node").withColumn("root", F.col("node"))
+    tried, sets, exhaustive, turn = None, None, False, 0
+    while True:
+        emitted = written(links(nodes, radius, every=exhaustive, order=turn).distinct(), "candidates")
+        pairs = emitted if tried is None else written(emitted.join(tried, ["u", "v"], "left_anti"), "pairs")
+        more = False
+        if pairs.head(1):
+            if sets is None:  # of all nodes that have a candidate: later rounds see no others
+                sets = written(shingle_sets(df, emitted, shingle, text), "sets")
+            tried = pairs if tried is None else written(tried.union(pairs), "tried")
+            good = written(confirmed(pairs, sets, least), "links")
+            more = bool(good.head(1))
+            if more:  # a label is a node
+                ends = renamed(good, nodes.select("node", "label"))
+                roots = written(components(ends), "roots")
+                every = written(every.join(roots.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root")), "groups")
+        if exhaustive:
+            return every
+        exhaustive, turn = not more, turn + 1
+        live = renamed(emitted, every).where("u <> v").select(F.explode(F.array("u", "v")).alias("label")).distinct()
+        labelled = nodes.drop("label").join(every.withColumnRenamed("root", "label"), "node")
+        nodes = written(labelled.join(live, "label", "left_semi"), "nodes")
+        if not nodes.head(1):
+            return every
+
+
+def representatives(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
+    """One row of each group of ``similar`` texts, all columns: that of the smallest id (rows without an id last)."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     far = F.lit((1 << 63) - 1)
     own = [F.coalesce(F.col(id_column).cast("bigint"), far).alias("_did"), F.xxhash64(text).alias("_th")]
-    rows = written(fingerprints(df, size, seed, id_column, text_column, with_hash=True), "simhash")
-    classes = classes_of(rows, radius)
-    chosen = rows.join(classes.select("bits", "root"), "bits").groupBy("root").agg(F.min(F.struct(F.coalesce("id", far).alias("_did"), F.col("th").alias("_th"))).alias("c")).select("c.*")
+    groups = similar(df, id_column=id_column, text_column=text_column, **how)
+    firsts = df.select(*own).groupBy("_th").agg(F.min("_did").alias("_did"))
+    chosen = firsts.join(groups, firsts["_th"] == groups["node"]).groupBy("root").agg(F.min(F.struct("_did", "_th")).alias("c")).select("c.*")
     kept = df.select(F.struct(*df.columns).alias("_row"), *own).join(chosen.hint("shuffle_hash"), ["_did", "_th"], "left_semi")
     return kept.groupBy("_did", "_th").agg(F.first("_row").alias("_row")).select("_row.*")
 

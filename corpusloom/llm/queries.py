@@ -40,7 +40,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_runs(documents(spark, sf_dir)).select("doc_id", "text", "line_stats.*")
+    return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "line_stats.*")
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,14 +60,15 @@ OP8_SQL = """
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 shares AS (SELECT source, n, pow(n::DOUBLE, 0.5) AS w FROM counts),
 rates AS (SELECT source, w / (SELECT sum(w) FROM shares) * (SELECT sum(n) FROM shares) / n AS rate FROM shares),
-split AS (SELECT source, CASE WHEN rate > 8 THEN floor(rate) ELSE 0 END AS fixed, rate - CASE WHEN rate > 8 THEN floor(rate) ELSE 0 END AS mean FROM rates),
-terms AS (SELECT source, fixed, k, exp(-mean) * pow(mean, k) / gamma(k + 1) AS p FROM split, range(0, 41) t(k)),
-sums AS (SELECT source, fixed, k, sum(p) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS s FROM terms),
-drawn AS (SELECT d.doc_id, d.source, d.text, ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents d),
-copies AS (SELECT drawn.doc_id, drawn.source, drawn.text, any_value(sums.fixed) + count(*) FILTER (sums.s <= drawn.u) AS n
-  FROM drawn JOIN sums ON drawn.source IS NOT DISTINCT FROM sums.source GROUP BY ALL)
-SELECT c.doc_id, c.source, c.text, t.k::INT AS copy, md5('mix:' || coalesce(c.doc_id::VARCHAR, 'null') || ':' || t.k::VARCHAR) AS shuffle_key
-FROM copies c, range(0, 1000) t(k) WHERE t.k < c.n
+split AS (SELECT source, greatest(1, ceil(rate / 8))::BIGINT AS parts, rate / greatest(1, ceil(rate / 8)) AS mean FROM rates),
+terms AS (SELECT source, k, exp(-mean) * pow(mean, k) / gamma(k + 1) AS p FROM split, range(0, 41) t(k)),
+sums AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS s FROM terms),
+drawn AS (SELECT d.doc_id, d.source, d.text, 'mix:' || d.doc_id AS own, unnest(range(split.parts)) AS part FROM documents d JOIN split ON d.source IS NOT DISTINCT FROM split.source),
+numbers AS (SELECT *, ('0x' || substr(md5(own || CASE WHEN part = 0 THEN '' ELSE ':part' || part END), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM drawn),
+copies AS (SELECT doc_id, numbers.source, text, own, count(*) FILTER (sums.s <= u) AS n
+  FROM numbers JOIN sums ON numbers.source IS NOT DISTINCT FROM sums.source GROUP BY ALL),
+each AS (SELECT *, unnest(range(n)) AS k FROM copies)
+SELECT doc_id, source, text, k::INT AS copy, md5(own || ':' || k) AS shuffle_key FROM each
 """
 
 

@@ -1,7 +1,15 @@
 """Quality rules: line-first cleaning, in DataFrame functions only.
 
-Every line of a text is judged by itself: navigation, punctuation and boilerplate rules. Lines that fail are removed.
-A document is then rejected if its base counts fail or if the cleaning took too much of its text.
+Every line of a text is judged by itself, by shares of its own words and characters, so a long line is not lost to one
+phrase in it. A line fails
+
+* as navigation, if separators or links make up too many of its words;
+* by punctuation, if symbols or doubled exclamation marks are too frequent, if it is in capitals, or if it has several
+  words but no sentence ends anywhere in it, or too few for its words;
+* as boilerplate, if phrases of page furniture (in four languages) make up too much of it.
+
+Lines that fail are removed. A document is then rejected if its base counts fail or if the cleaning took too much of
+its text.
 
 Defined cases: a null text has no words and is rejected as too short; an empty line is kept and counts for nothing;
 repeated rows and null ids are judged like any other row; no other column is read. Everything stays in a row, so there
@@ -25,29 +33,42 @@ class Limits:
     min_words: int = 50
     #: Percent of words in repeated three-word windows beyond which a document fails.
     max_repeat_percent: int = 50
-    #: Percent of a line's word characters that may be symbols, and of its words that may be separators.
+    #: Percent of a line's word characters that may be symbols, and of its words that may be separators or links.
     max_symbol_percent: int = 10
     max_separator_percent: int = 20
+    max_link_percent: int = 30
     #: Percent of a line's words that may end in doubled exclamation or question marks.
     max_shout_percent: int = 30
-    #: A line in capitals fails from this many words on.
-    capital_words: int = 4
+    #: A line fails in capitals, or without the end of a sentence, from this many words on.
+    line_words: int = 4
+    #: Words that a line may have for each end of a sentence.
+    sentence_words: int = 150
+    #: Percent of a line's characters that boilerplate phrases may make up.
+    max_boilerplate_percent: int = 25
     #: Percent of the word characters that must be left.
     min_kept_percent: int = 50
 
 
-#: Phrases of page furniture, matched without regard to case.
+#: Phrases of page furniture in lower case.
 BOILERPLATE = (
-    "accept cookies|all rights reserved|click here|cookie policy|enable javascript|log in to|lorem ipsum|"
-    "privacy policy|read more|share this|sign up for|skip to content|subscribe to|terms of service|terms of use"
-)
+    "accept all cookies", "accept cookies", "add to cart", "all rights reserved", "back to top", "click here", "cookie policy", "enable javascript", "follow us on", "forgot your password", "log in to", "lorem ipsum", "privacy policy",
+    "read more", "share this", "sign up for", "skip to content", "subscribe to", "terms and conditions", "terms of service", "terms of use", "we use cookies",
+    "alle cookies akzeptieren", "alle rechte vorbehalten", "allgemeine geschäftsbedingungen", "datenschutzerklärung", "hier klicken", "in den warenkorb", "jetzt anmelden", "mehr erfahren", "mehr lesen", "nach oben", "newsletter abonnieren", "passwort vergessen", "weiterlesen", "wir verwenden cookies", "zum inhalt springen",
+    "aceptar cookies", "aviso legal", "haga clic aquí", "ir al contenido", "iniciar sesión", "leer más", "política de cookies", "política de privacidad", "suscríbete", "todos los derechos reservados", "términos y condiciones", "utilizamos cookies", "volver arriba", "añadir al carrito",
+    "accepter les cookies", "ajouter au panier", "aller au contenu", "cliquez ici", "conditions générales", "en savoir plus", "lire la suite", "mentions légales", "mot de passe oublié", "nous utilisons des cookies", "politique de confidentialité", "retour en haut", "s'abonner à", "tous droits réservés",
+)
+#: A word that is a separator, a link, or ends in doubled marks; a place where a sentence ends. Words are joined by one space.
+SEPARATOR = r"(?<![^ ])[|>»•·/\\-]+(?![^ ])"
+LINK = r"(?<![^ ])(?:https?://|www\.|[^ @]+@)[^ ]+"
+SHOUT = r"[!?]{2,}(?![^ ])"
+SENTENCE_END = "[.!?:…。！？][\"'’”»)\\]]*(?![^ ])"
 
 
 def repeated_words(words: Column) -> Column:
     """Words that lie in three-word windows found twice or more in their text, the first ones included.
 
-    Windows are sorted by hash and position; neighbours with the same hash and words repeat. A window adds as many
-    words as it goes beyond the repeated window before it.
+    A window is known by the 64-bit hash of its words. Windows are sorted by hash and position; neighbours with the
+    same hash repeat. A window adds as many words as it goes beyond the repeated window before it.
     """
     zero = F.lit(0).cast("bigint")
 
@@ -73,24 +94,27 @@ def repeated_words(words: Column) -> Column:
 
 def line_fails(line: Column, limits: Limits) -> Column:
     """True for a line with words that is navigation, boilerplate, or not punctuated like prose."""
+    phrases = r"(?<![\p{L}\p{N}])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{N}])"
 
-    def of(w: Column) -> Column:
-        n = F.size(w)
-        joined = F.array_join(w, " ")
-        chars = F.length(joined) - n + 1
+    def of(joined: Column) -> Column:
+        chars = F.length(F.replace(joined, F.lit(" "), F.lit("")))
+        n = F.length(joined) - chars + 1
+        low = F.lower(joined)
+        count = lambda pattern: F.regexp_count(joined, F.lit(pattern))
         symbols = F.length(F.regexp_replace(joined, r"[^#*$%&|<>]+", ""))
-        separators = F.size(F.filter(w, lambda x: x.rlike(r"^[|>»•·/\\-]+$")))
-        shouts = F.size(F.filter(w, lambda x: x.rlike(r"[!?]{2,}$")))
-        capitals = (n >= limits.capital_words) & (joined == F.upper(joined)) & (joined != F.lower(joined))
-        return (n > 0) & (
+        ends = count(SENTENCE_END)
+        several = n >= limits.line_words
+        return (joined != "") & (
             (symbols * 100 > chars * limits.max_symbol_percent)
-            | (separators * 100 > n * limits.max_separator_percent)
-            | (shouts * 100 > n * limits.max_shout_percent)
-            | capitals
-            | joined.rlike(f"(?i){BOILERPLATE}")
+            | (several & ((ends == 0) | (n > ends * limits.sentence_words)))
+            | (several & (joined == F.upper(joined)) & (joined != low))
+            | (count(SEPARATOR) * 100 > n * limits.max_separator_percent)
+            | (count(SHOUT) * 100 > n * limits.max_shout_percent)
+            | (count(LINK) * 100 > n * limits.max_link_percent)
+            | ((F.length(low) - F.length(F.regexp_replace(low, phrases, ""))) * 100 > F.length(low) * limits.max_boilerplate_percent)
         )
 
-    return let(words_of(line), of)
+    return let(F.array_join(words_of(line), " "), of)
 
 
 def judge(df: DataFrame, limits: Limits | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -1,24 +1,9 @@
 import random
 
-from corpusloom.llm import lines
+from corpusloom.llm import common, lines
 from tests.llm.util import frame, odd_texts
 
 
-def slow(ids, texts, window=2, divisor=4, min_lines=2, longest=64):
-    """Brute force over all documents in order of their ids."""
-    seen, out = {}, {}
-    for i, t in sorted(zip(ids, texts, strict=True)):
-        rows = t.encode().split(b"\n")
-        kept = []
-        for no, (a, b) in enumerate(lines.chunks(rows, window, divisor, longest)):
-            body = rows[a:b]
-            many = b - a >= min_lines and sum(bool(x.strip()) for x in body) >= min_lines
-            if not many or seen.setdefault(tuple(body), (i, no)) == (i, no):
-                kept += body
-        out[i] = b"\n".join(kept).decode()
-    return out
-
-
 def sample(rng, n=80):
     pool = [f"line {i} {rng.random()}" for i in range(60)] + ["", "  "]
     texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(0, 40))) for _ in range(n)]
@@ -29,16 +14,35 @@ def sample(rng, n=80):
     return texts
 
 
-def test_against_brute_force(spark):
-    texts = sample(random.Random(1)) + [t or "" for t in odd_texts()]
+def slow_runs(ids, texts, least=2):
+    """Brute force over contiguous runs of lines, without chunks: lines in any run with ``least`` lines of text that occurred before."""
+    docs = [(i, t.split("\n")) for i, t in sorted(zip(ids, texts, strict=True))]
+    places, out = {}, {}
+    for i, rows in docs:
+        gone = set()
+        for a in range(len(rows)):
+            for b in range(a + 1, len(rows) + 1):
+                if sum(bool(x.strip()) for x in rows[a:b]) >= least:
+                    old = places.setdefault(tuple(rows[a:b]), (i, b))
+                    if old[0] != i or a >= old[1]:
+                        gone |= set(range(a, b))
+        out[i] = "\n".join(x for k, x in enumerate(rows) if k not in gone), len(gone)
+    return out
+
+
+def test_against_brute_force(spark, monkeypatch):
+    texts = sample(random.Random(1), 40) + [t or "" for t in odd_texts()]
+    texts += ["hot\nlines\nof\nmany\n" + str(i % 3) for i in range(60)]
     ids = list(range(500, 500 + len(texts)))
     random.Random(2).shuffle(ids)
-    df = frame(spark, texts, ids).withColumnRenamed("lang", "nos").withColumnRenamed("source", "first")
-    got = {r.doc_id: r for r in lines.dedup_lines(df).collect()}
-    want = slow(ids, texts)
-    assert {i: r.text for i, r in got.items()} == want
-    removed = sum(r.line_stats.removed_lines for r in got.values())
-    assert removed > 300 and list(got[500].asDict()) == [*df.columns, "line_stats"]
+    df = frame(spark, texts, ids).withColumnRenamed("lang", "chunk").withColumnRenamed("source", "first")
+    want = slow_runs(ids, texts)
+    for hot in (1000, 15):  # with and without keys that stay where they are
+        monkeypatch.setattr(common, "HOT_KEYS", hot)
+        got = {r.doc_id: r for r in lines.dedup_lines(df).collect()}
+        assert {i: (r.text, r.line_stats.removed_lines) for i, r in got.items()} == want
+    assert sum(n for _, n in want.values()) > 300 and list(got[500].asDict()) == [*df.columns, "line_stats"]
+    assert sum(r.line_stats.removed_chunks for r in got.values()) > 60
 
 
 def test_boundaries_withstand_shifts():
@@ -59,29 +63,13 @@ def test_defined_cases(spark):
     assert [r.text for r in rows if r.doc_id == 7] == [None]
 
 
-def slow_runs(ids, texts, least=2):
-    """Brute force over contiguous runs of lines, without chunks: lines in any run with ``least`` lines of text that occurred before."""
-    docs = [(i, t.split("\n")) for i, t in sorted(zip(ids, texts, strict=True))]
-    places, out = {}, {}
-    for i, rows in docs:
-        gone = set()
-        for a in range(len(rows)):
-            for b in range(a + 1, len(rows) + 1):
-                if sum(bool(x.strip()) for x in rows[a:b]) >= least:
-                    old = places.setdefault(tuple(rows[a:b]), (i, b))
-                    if old[0] != i or a >= old[1]:
-                        gone |= set(range(a, b))
-        out[i] = "\n".join(x for k, x in enumerate(rows) if k not in gone), len(gone)
-    return out
-
-
 def test_every_repeated_run_goes(spark):
     texts = sample(random.Random(3), 40) + ["p\nq", "new\np\nq\nold", "x\nx\nx", "x\nx\nx\nx\nx", "k\n\n\nl\n\n", "0\n\nk\n\n\nl\n\n\n1", "\nk\n\n\nl", "r\ns\nr\ns\nr"]
     ids = list(range(len(texts)))
     for least in (2, 3):
-        got = {r.doc_id: (r.text, r.line_stats.removed_lines) for r in lines.dedup_runs(frame(spark, texts, ids), least).collect()}
+        got = {r.doc_id: (r.text, r.line_stats.removed_lines) for r in lines.dedup_lines(frame(spark, texts, ids), min_lines=least).collect()}
         assert got == slow_runs(ids, texts, least)
-    assert lines.dedup_runs(frame(spark, [])).collect() == []
+    assert lines.dedup_lines(frame(spark, [])).collect() == []
 
 
 def test_op5_query_cuts_a_passage_inside_other_text(spark, tmp_path):
@@ -94,6 +82,6 @@ def test_op5_query_cuts_a_passage_inside_other_text(spark, tmp_path):
 
 
 def test_runs_in_defined_cases(spark):
-    rows = lines.dedup_runs(frame(spark, ["a\nb\nc", "a\nb\nc", None, "b\nc"], [5, 5, 7, None])).collect()
+    rows = lines.dedup_lines(frame(spark, ["a\nb\nc", "a\nb\nc", None, "b\nc"], [5, 5, 7, None])).collect()
     assert sorted((str(r.doc_id), r.text) for r in rows if r.doc_id != 7) == [("5", "a\nb\nc"), ("5", "a\nb\nc"), ("None", "")]
     assert [r.text for r in rows if r.doc_id == 7] == [None]

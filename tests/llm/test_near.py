@@ -57,13 +57,86 @@ def test_bit_sliced_links_equal_all_pairs(radius):
     values, bucket = np.array(v, np.uint64), np.sort(np.array([rng.randrange(3) for _ in v]))
     i, j = near.linked(values, bucket, radius)
     label = np.arange(len(v))
-    near.joined(label, i, j)
+    near.joined_labels(label, i, j)
     want = np.arange(len(v))
     pairs = [(a, b) for a in range(len(v)) for b in range(a) if bucket[a] == bucket[b] and (v[a] ^ v[b]).bit_count() <= radius]
-    near.joined(want, np.array([p[0] for p in pairs], int), np.array([p[1] for p in pairs], int))
+    near.joined_labels(want, np.array([p[0] for p in pairs], int), np.array([p[1] for p in pairs], int))
     assert (label == want).all()
 
 
+def test_links_between_groups_only():
+    rng = random.Random(8)
+    v = near_values(rng, 30, [40, 20])
+    values, bucket = np.array(v, np.uint64), np.zeros(len(v), int)
+    group = np.array([rng.randrange(4) * 10 for _ in v])
+    near_pairs = {(b, a) for a in range(len(v)) for b in range(a) if group[a] != group[b] and (v[a] ^ v[b]).bit_count() <= 3}
+    i, j = near.linked(values, bucket, 3, None, group, every=True)
+    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} == near_pairs
+    i, j = near.linked(values, bucket, 3, None, group)
+    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} <= near_pairs
+    of = lambda edges: slow_groups(4, [(group[a] // 10, group[b] // 10) for a, b in edges])
+    assert of(zip(i, j, strict=True)) == of(near_pairs)
+
+
+def slow_groups(n, edges):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def slow_similar(texts, least=0.8, size=5):
+    """Groups (smallest position) by all pairs of texts whose five-word shingles have a Jaccard similarity of 0.8."""
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))} if w else set())
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    edges = []
+    for x, i in enumerate(order):
+        for j in order[x + 1 :]:
+            if len(sets[i]) < least * len(sets[j]):
+                break
+            common = len(sets[i] & sets[j])
+            if common >= least * (len(sets[i]) + len(sets[j]) - common):
+                edges.append((i, j))
+    return slow_groups(len(texts), edges), edges
+
+
+def edited(rng, text, share):
+    words = text.split(" ")
+    for _ in range(max(1, int(len(words) * share))):
+        words[rng.randrange(len(words))] = f"z{rng.random()}"
+    return " ".join(words)
+
+
+def test_groups_of_similar_texts_against_all_pairs(spark):
+    """Recall of linked pairs is at least 0.9, and no two texts are joined that links do not connect."""
+    rng = random.Random(11)
+    texts = odd_texts() + [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").orderBy("doc_id").collect()]
+    bases = [t for t in texts if t and 60 < len(t.split(" ")) < 400][:60]
+    texts += [edited(rng, b, rng.choice([0.004, 0.01, 0.02, 0.03])) for b in bases for _ in range(3)]
+    texts += [edited(rng, bases[0], 0.012) for _ in range(120)]  # one group of many near copies
+    want, edges = slow_similar(texts)
+    rows = near.similar(frame(spark, texts)).collect()
+    of = {r.node: r.root for r in rows}
+    nodes = [r[0] for r in frame(spark, texts).selectExpr("doc_id", "xxhash64(coalesce(text, '')) n").orderBy("doc_id").select("n").collect()]
+    assert set(of) == set(nodes)
+    got = [of[n] for n in nodes]
+    found = sum(got[a] == got[b] for a, b in edges)
+    assert len(edges) > 2000 and found >= 0.9 * len(edges)
+    pairs = [(a, b) for a, b in edges if a >= len(texts) - 120 or texts[a] != texts[b]]
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.9 * len(pairs)
+    assert all(len({want[i] for i in range(len(texts)) if got[i] == g}) == 1 for g in set(got))
+
+
 def test_links_and_tiles(spark, monkeypatch):
     rng = random.Random(5)
     v = near_values(rng, 300, [200, 50, 9, 2, 2])

@@ -2,8 +2,8 @@ import sys
 
 import corpus_pipeline
 from corpusloom.llm import lines, near
-from tests.llm.test_lines import slow as slow_lines
-from tests.llm.test_near import slow_components, slow_fingerprint
+from tests.llm.test_lines import slow_runs
+from tests.llm.test_near import slow_similar
 from tests.llm.util import frame
 
 SF = "/root/testdata/sf0.001"
@@ -30,13 +30,13 @@ def test_stages_in_order(spark, tmp_path):
 
     before, after = seen["line dedup"]
     rows = before.collect()
-    assert {r.doc_id: r.text for r in after.collect()} == slow_lines([r.doc_id for r in rows], [r.text for r in rows])
+    assert {r.doc_id: r.text for r in after.collect()} == {i: t for i, (t, _) in slow_runs([r.doc_id for r in rows], [r.text for r in rows]).items()}
     assert all(r.n_chars == len(r.text) for r in after.collect())
 
     before, after = seen["near dedup"]
-    rows = before.collect()
-    classes = slow_components([r.doc_id for r in rows], [slow_fingerprint(r.text) for r in rows])
-    assert sorted(r.doc_id for r in after.collect()) == sorted(set(classes))
+    rows = sorted(before.collect())
+    groups, edges = slow_similar([r.text for r in rows])
+    assert edges and sorted(r.doc_id for r in after.collect()) == [rows[i].doc_id for i in sorted(set(groups))]
 
     before, after = seen["source mixing"]
     assert {r.doc_id for r in after.collect()} <= {r.doc_id for r in before.collect()} and abs(after.count() - before.count()) < 60
