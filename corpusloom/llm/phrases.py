@@ -18,11 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import Memo, blocks
-from corpusloom.llm.repeats import View, reported
+from corpusloom.llm.bpe import blocks
+from corpusloom.llm.repeats import View, hashed, reported
 
-#: Bytes of the texts of a shard.
-SHARD = 2 << 20
+#: Bytes of the texts of a shard: the automaton's first state has a branch for each word that begins a passage, and
+#: branches are searched one by one, so small shards are faster.
+SHARD = 1 << 17
+#: Words that have a character each, and second characters of the words of a larger vocabulary.
+CHARACTERS, PAIR = 0xD000, 0x1000
 
 
 def solve(parts: list[bytes], weights: list[int], length: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -41,38 +44,40 @@ def solve(parts: list[bytes], weights: list[int], length: int) -> tuple[list[np.
 
 
 def located(texts: list[bytes], passages: set[bytes]) -> list[np.ndarray]:
-    """Which words of each text an occurrence of a passage covers."""
+    """Which words of each text an occurrence of a passage covers.
+
+    A word is one character of the automaton's strings, or two if the words are too many for that.
+    """
     import ahocorasick
 
     words = [t.split() for t in texts]
     flags = [np.zeros(len(w), dtype=bool) for w in words]
     if not passages:
         return flags
-    number: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+    vocabulary = {w for p in passages for w in p.split(b" ")}
+    size = 1 if len(vocabulary) < CHARACTERS else 2
+    code = {w: chr(i + 1) if size == 1 else chr(CHARACTERS + i // PAIR) + chr(i % PAIR + 1) for i, w in enumerate(vocabulary)}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_STRING)
+    of = code.__getitem__
     for passage in passages:
-        automaton.add_word(tuple([number.setdefault(w, len(number) + 1) for w in passage.split(b" ")]))
+        automaton.add_word("".join(map(of, passage.split(b" "))))
     automaton.make_automaton()
-    get = number.get
+    get, other = code.get, "\0" * size
     for some, covered in zip(words, flags, strict=True):
-        for end, n in automaton.iter(tuple([get(w, 0) for w in some])):
-            covered[end - n + 1 : end + 1] = True
+        for end, n in automaton.iter("".join([get(w, other) for w in some])):
+            covered[(end + 1 - n) // size : (end + 1) // size] = True
     return flags
 
 
 def word_symbols():
-    import xxhash
-
-    memo = Memo(200_000)
-    value = xxhash.xxh3_64_intdigest
-
     def symbols(text: bytes):
-        words = text.split()
-        get = memo.fill(set(words), lambda fresh: map(value, fresh)).__getitem__
-        n = len(words)
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=n)
-        ends = np.cumsum(sizes + 1) - 1
-        return b" ".join(words), np.fromiter(map(get, words), dtype=np.uint64, count=n), ends - sizes, ends
+        data = b" ".join(text.split())
+        raw = np.frombuffer(data, dtype=np.uint8)
+        if not len(raw):
+            return data, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        spaces = np.flatnonzero(raw == 32)
+        starts, ends = np.r_[0, spaces + 1], np.r_[spaces, len(raw)]
+        return data, hashed(raw.astype(np.uint64) + np.uint64(1), starts, ends), starts, ends
 
     return symbols
 

@@ -70,26 +70,33 @@ class Powers:
 POWERS = Powers()
 
 
-def contexts(values: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window and the anchor of each context of a sequence of symbols."""
+def hashed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches of ``values``: equal for equal stretches, wherever they lie."""
+    up, down = POWERS.upto(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[:-1], dtype=np.uint64, out=sums[1:])
+    h = (sums[ends] - sums[starts]) * down[starts]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(32)
+
+
+def contexts(values: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window, the anchor and its hash of each context of a sequence of symbols."""
     if len(values) < length:
-        return (np.zeros(0, dtype=np.int64),) * 3
+        return (*(np.zeros(0, dtype=np.int64),) * 3, np.zeros(0, dtype=np.uint64))
     parts = []
     for a in range(0, len(values) - length + 1, PIECE):
-        parts.append([x + a for x in _piece(values[a : a + PIECE + length - 1], length, gram)])
+        *places, h = _piece(values[a : a + PIECE + length - 1], length, gram)
+        parts.append([*[x + a for x in places], h])
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _piece(values: np.ndarray, length: int, gram: int):
     n = len(values)
-    up, down = POWERS.upto(n)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * up, dtype=np.uint64, out=sums[1:])
-    h = (sums[gram:] - sums[:-gram]) * down[: n - gram + 1]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    h = (h & ~np.uint64((1 << 21) - 1)) | np.arange(len(h), dtype=np.uint64)  # equal hashes: the leftmost counts as the smallest
+    first = np.arange(n - gram + 1)
+    whole = hashed(values, first, first + gram)
+    h = (whole & ~np.uint64((1 << 21) - 1)) | first.astype(np.uint64)  # equal hashes: the leftmost counts as the smallest
     wide = length - gram + 1
     blocks = np.full(-(-len(h) // wide) * wide, np.uint64(0xFFFFFFFFFFFFFFFF))
     blocks[: len(h)] = h
@@ -100,7 +107,7 @@ def _piece(values: np.ndarray, length: int, gram: int):
     least = np.minimum(back[:windows], ahead[wide - 1 : wide - 1 + windows])
     at = (least & np.uint64((1 << 21) - 1)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return first, np.r_[first[1:] - 1, windows - 1], at[first]
+    return first, np.r_[first[1:] - 1, windows - 1], at[first], whole[at[first]]
 
 
 def scan(df: DataFrame, view: View) -> DataFrame:
@@ -116,21 +123,19 @@ def scan(df: DataFrame, view: View) -> DataFrame:
             keys, whole, where, docs = [], [], [], []
             for k, text in enumerate(text_bytes(rows.column(2))):
                 data, values, starts, ends = symbols(text)
-                lo, hi, at = contexts(values, length, gram)
+                lo, hi, _, anchor = contexts(values, length, gram)
                 if not len(lo):
                     continue
-                if starts is None:
-                    grams, spans = zip(at.tolist(), (at + gram).tolist(), strict=True), zip(lo.tolist(), (hi + length).tolist(), strict=True)
-                else:
-                    grams, spans = zip(starts[at].tolist(), ends[at + gram - 1].tolist(), strict=True), zip(starts[lo].tolist(), ends[hi + length - 1].tolist(), strict=True)
-                keys += [digest(data[a:b]) for a, b in grams]
+                last = hi + length
+                spans = zip((lo if starts is None else starts[lo]).tolist(), (last if starts is None else ends[last - 1]).tolist(), strict=True)
+                keys.append(anchor)
                 whole += [digest(data[a:b]) for a, b in spans]
                 where.append(lo * length + (hi - lo))
                 docs.append(np.full(len(lo), k))
             if keys:
                 docs = pa.array(np.concatenate(docs))
                 as_long = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([as_long(keys), as_long(whole), rows.column(0).take(docs), rows.column(1).take(docs), pa.array(np.concatenate(where))], names=["key", "ctx", "did", "th", "pos"])
+                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(keys)), as_long(whole), rows.column(0).take(docs), rows.column(1).take(docs), pa.array(np.concatenate(where))], names=["key", "ctx", "did", "th", "pos"])
 
         return batch
 

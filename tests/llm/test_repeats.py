@@ -75,14 +75,14 @@ def test_bucket_pointers_equal_brute_force(monkeypatch):
 def test_contexts_depend_on_the_window_alone(monkeypatch):
     rng = np.random.default_rng(1)
     x = rng.integers(0, 3, 3000).astype(np.uint64) + np.uint64(1)
-    lo, hi, at = repeats.contexts(x, 50, 10)
+    lo, hi, at, _ = repeats.contexts(x, 50, 10)
     assert lo[0] == 0 and hi[-1] == len(x) - 50 and (lo[1:] == hi[:-1] + 1).all()
     anchor = np.repeat(at, hi - lo + 1) - np.arange(len(x) - 49)
     assert ((anchor >= 0) & (anchor <= 40)).all()
     for i in (0, 17, 400, 2950):
         assert repeats.contexts(x[i : i + 50], 50, 10)[2][0] == anchor[i]
     monkeypatch.setattr(repeats, "PIECE", 700)
-    lo, hi, at = repeats.contexts(x, 50, 10)
+    lo, hi, at, _ = repeats.contexts(x, 50, 10)
     assert (np.repeat(at, hi - lo + 1) - np.arange(len(x) - 49) == anchor).all()
 
 
@@ -127,11 +127,16 @@ def test_texts_without_id_whose_short_hashes_collide(spark):
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted(byte_rows(texts, 20))
 
 
-def test_automata_locate_what_the_dictionary_has():
+def test_automata_locate_what_the_dictionary_has(monkeypatch):
     texts = [b"a b c d e", b"x a b c a b", b"", b"c d e c d"]
     flags = phrases.located(texts, {b"a b c", b"c d"})
     assert [f.astype(int).tolist() for f in flags] == [[1, 1, 1, 1, 0], [0, 1, 1, 1, 0, 0], [], [1, 1, 0, 1, 1]]
     assert not any(f.any() for f in phrases.located(texts, set()))
+    many = b" ".join(b"w%d" % i for i in range(200))
+    monkeypatch.setattr(phrases, "CHARACTERS", 100)  # words of two characters
+    monkeypatch.setattr(phrases, "PAIR", 7)
+    (flags,) = phrases.located([b"x " + many + b" y w3 w4"], {many, b"w3 w4"})
+    assert flags.tolist() == [False, *[True] * 200, False, True, True]
 
 
 def test_many_rows_without_id(spark):
