@@ -182,3 +182,21 @@ def spec_map(spec: Column, pair: str = ",", key: str = ":") -> Column:
     """``a:1,b:2`` as a map of integers."""
     clean = F.filter(F.transform(F.split(spec, pair), F.trim), lambda x: x != "")
     return F.map_from_entries(F.transform(clean, lambda x: F.struct(F.trim(F.split_part(x, F.lit(key), F.lit(1))), F.trim(F.split_part(x, F.lit(key), F.lit(2))).cast("int"))))
+
+
+def token_distance(a: Column | str, b: Column | str) -> Column:
+    """Edit distance of two arrays of words; null counts as empty.
+
+    The distinct words of a row are numbered, and a word becomes the character with its number, so the built-in
+    distance of strings does the work. A row with more than some 60,000 distinct words is an error.
+    """
+    a, b = (F.coalesce(F.col(x) if isinstance(x, str) else x, F.array().cast("array<string>")) for x in (a, b))
+
+    def of(words: Column) -> Column:
+        number = F.when(F.size(words) < 0xF000, F.lit(1)).otherwise(F.raise_error(F.lit("too many distinct words in a row")).cast("int"))
+        place = lambda w: F.array_position(words, w).cast("int") * number
+        code = lambda n: F.when(n < 0xD800, n).otherwise(n + 0x800)
+        spelled = lambda text: F.decode(F.unhex(F.array_join(F.transform(text, lambda w: F.lpad(F.hex(code(place(w))), 4, "0")), "")), "UTF-16BE")
+        return F.levenshtein(spelled(a), spelled(b))
+
+    return F.element_at(F.transform(F.array(F.array_distinct(F.concat(a, b))), of), 1)

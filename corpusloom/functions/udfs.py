@@ -41,24 +41,6 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="object")
 
 
-def levenshtein(a: list, b: list) -> int:
-    """Edit distance of two sequences, a row at a time over the shorter one."""
-    if len(a) < len(b):
-        a, b = b, a
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        corner, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
-    return row[-1]
-
-
-@F.pandas_udf(T.IntegerType())
-def token_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Edit distance of two arrays of words; null counts as empty."""
-    return pd.Series([levenshtein(list(x if x is not None else []), list(y if y is not None else [])) for x, y in zip(a, b, strict=True)], dtype="int32")
-
-
 def chrf_counts(hypothesis: str, reference: str, order: int = 6) -> list[tuple[int, int, int]]:
     """Per n-gram length: n-grams of the hypothesis, of the reference, and common ones; white space does not count."""
     h, r = "".join(hypothesis.split()), "".join(reference.split())

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a side may have to be broadcast.
+SMALL = 50_000
+
+
 def first_wins(df: DataFrame, key: Column, *order: Column | str) -> DataFrame:
     """The first row of each key in the given order.
 
@@ -24,20 +28,25 @@ def first_wins(df: DataFrame, key: Column, *order: Column | str) -> DataFrame:
 def last_wins(df: DataFrame, key: Column, line: Column | str, protected: Column) -> DataFrame:
     """The last row of each key, unless a protected row came before: the first such row stays for good.
 
-    ``position`` is the place where the key was first seen.
+    ``position`` is the place where the key was first seen. Each task keeps two rows of a key before the shuffle.
     """
     line = F.col(line) if isinstance(line, str) else line
     held = F.coalesce(protected, F.lit(False))
-    keys = Window.partitionBy(key)
-    w = keys.orderBy(held.desc(), F.when(held, line).otherwise(-line))
-    out = df.withColumn("position", F.min(line).over(keys)).withColumn("_rn", F.row_number().over(w))
-    return out.where("_rn = 1").drop("_rn")
+    row = F.struct(*df.columns)
+    kept = df.groupBy(key.alias("_key")).agg(F.min(line).alias("position"), F.min_by(row, F.when(held, line)).alias("_held"), F.max_by(row, line).alias("_last"))
+    return kept.select(F.coalesce("_held", "_last").alias("_row"), "position").select("_row.*", "position")
 
 
-def flag_repeats(df: DataFrame, keys: list[str], *order: Column | str, name: str = "repeat") -> DataFrame:
-    """Marks every row of a key but the first. Null keys are equal."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w) > 1)
+def flag_repeats(df: DataFrame, keys: list[str], *order: str, name: str = "repeat") -> DataFrame:
+    """Marks every row of a key but the first in the order of the columns, which no two rows of a key share. Null keys are equal.
+
+    The first of each key is found with a partial minimum and joined back: few keys, or keys with very many rows, are
+    no hot partitions.
+    """
+    firsts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(F.struct(*order)).alias("_first"))
+    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(firsts[f"_k{i}"]) for i, k in enumerate(keys)])
+    few = firsts.limit(SMALL + 1).count() <= SMALL
+    return df.join(F.broadcast(firsts) if few else firsts, on).select(*[df[c] for c in df.columns], (F.struct(*[df[o] for o in order]) != F.col("_first")).alias(name))
 
 
 def without(df: DataFrame, key: Column, *others: DataFrame) -> DataFrame:

@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a side may have to be broadcast.
+SMALL = 50_000
+
+
 def place(seed: str, key: Column) -> Column:
     """Order key that any engine computes alike."""
     return F.md5(F.concat_ws(":", key.cast("string"), F.lit(seed)))
@@ -37,9 +41,16 @@ def round_robin(df: DataFrame, group: str, preferred: Column, n: int, per_group:
 
 
 def keep_good_else_all(df: DataFrame, group: str, good: Column) -> DataFrame:
-    """Good rows of a group, or all of them if none is good."""
-    any_good = F.max(F.coalesce(good, F.lit(False)).cast("int")).over(Window.partitionBy(group))
-    return df.withColumn("_any", any_good).where((F.col("_any") == 0) | F.coalesce(good, F.lit(False))).drop("_any")
+    """Good rows of a group, or all of them if none is good. A null group is a group.
+
+    The groups with a good row are aggregated and joined back, by broadcast if a count shows that they are few.
+    """
+    rows = df.withColumn("_good", F.coalesce(good, F.lit(False)))
+    having = rows.where("_good").select(F.col(group).alias("_group")).distinct()
+    if having.limit(SMALL + 1).count() <= SMALL:
+        having = F.broadcast(having)
+    lacking = rows.where("not _good").join(having, F.col(group).eqNullSafe(F.col("_group")), "left_anti")
+    return rows.where("_good").unionByName(lacking).drop("_good")
 
 
 def oversampled(df: DataFrame, category: Column, factors: dict[str, int]) -> DataFrame:

@@ -13,14 +13,18 @@ from corpusloom.functions import udfs
 def document_reasons(df: DataFrame, min_words: int = 20, max_words: int = 400) -> DataFrame:
     """``reason``: the first of empty, short, long, symbols, duplicate that holds; null for rows that are kept.
 
-    The duplicate key is hashed before the window, so texts do not move: only ids, the key's digest and the flags do.
+    Texts do not move: the first row of each key is found with a partial minimum in each task, and only ids and digests
+    are joined back, to keys that have several rows. A row with a reason already has a key of its own in that join, so
+    the many empty or short rows of a hot key are not joined at all.
     """
     n = T.space_word_count(F.col("text"))
     early = P.cascade(("empty", F.col("text") == ""), ("short", n < min_words), ("long", n > max_words), ("symbols", F.regexp_count("text", F.lit("[#*$%&|<>]")) * 20 > F.length("text")))
     rest = [c for c in df.columns if c != "text"]
     rows = df.select(*rest, early.alias("_early"), F.sha2(T.exact_key(F.col("text")), 256).alias("_key"))
-    w = Window.partitionBy("_key").orderBy("doc_id")
-    return rows.withColumn("reason", F.coalesce("_early", F.when(F.row_number().over(w) > 1, "duplicate"))).drop("_early", "_key")
+    firsts = rows.groupBy("_key").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("_key", "_first")
+    own = F.when(F.col("_early").isNull(), F.col("_key")).otherwise(F.concat(F.lit("row "), F.col("doc_id").cast("string")))
+    joined = rows.withColumn("_key", own).join(firsts, "_key", "left")
+    return joined.select(*rest, F.coalesce("_early", F.when(F.col("doc_id") > F.col("_first"), "duplicate")).alias("reason"))
 
 
 def candidate_problems(df: DataFrame, echo: str | None = None, least: float = 0.8) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.queries import events_queries, inline_queries, more_queries, report_queries, row_queries, state_queries  # noqa: F401
+from corpusloom.queries.sql_forms import FORMS
 from corpusloom.registry import QUERIES, SQL, Query
 from corpusloom.shipping import shipped
 
@@ -12,4 +13,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | FORMS

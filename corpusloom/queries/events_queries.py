@@ -70,10 +70,9 @@ def interval_difference(spark, sf):
     return rows.select("id", "p.a", "p.b")
 
 
-@query(f"SELECT event_id, s + i * (e - s) / n AS a, s + (i + 1) * (e - s) / n AS b FROM (SELECT event_id, s, s + value AS e, greatest(1, ceil(value / 25.0))::INT AS n FROM {EV} WHERE event_id % 50 = 0), range(0, 1000) r(i) WHERE i < n")
+@query(f"SELECT event_id, s + i * (e - s) / n AS a, s + (i + 1) * (e - s) / n AS b FROM (SELECT event_id, s, s + value AS e, greatest(1, ceil(value / 25.0))::INT AS n, unnest(range(n)) AS i FROM {EV})")
 def split_long(spark, sf):
-    rows = events(spark, sf).where("event_id % 50 = 0")
-    return rows.select("event_id", F.explode(intervals.equal_parts(F.col("s"), F.col("s") + F.col("value"), 25.0)).alias("p")).select("event_id", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+    return events(spark, sf).select("event_id", F.explode(intervals.equal_parts(F.col("s"), F.col("s") + F.col("value"), 25.0)).alias("p")).select("event_id", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
 
 
 @query()

@@ -239,7 +239,7 @@ def memory_tiers(spark, sf):
 @query()
 def token_edit_distance(spark, sf):
     a = lines(spark).where("text is not null").select("id", T.speech_words(F.col("text")).alias("w"))
-    return a.join(a.toDF("other", "w2"), F.col("other") == F.col("id") + 1).select("id", "other", udfs.token_distance("w", "w2").alias("errors"), F.size("w").alias("words"))
+    return a.join(a.toDF("other", "w2"), F.col("other") == F.col("id") + 1).select("id", "other", T.token_distance("w", "w2").alias("errors"), F.size("w").alias("words"))
 
 
 @query()
@@ -298,4 +298,4 @@ def training_labels(spark, sf):
 
 @query()
 def spec_maps(spark, sf):
-    return spark.createDataFrame([("a=2,b=3",), ("c = 1 , d=4,",)], "spec string").select("spec", F.array_sort(F.map_entries(T.spec_map(F.col("spec"), ",", "="))).alias("entries"))
+    return spark.createDataFrame([("a=2,b=3",), ("c = 1 , d=4,",)], "spec string").select("spec", F.explode(T.spec_map(F.col("spec"), ",", "=")).alias("key", "value"))

@@ -85,7 +85,7 @@ def own_voice_totals(spark, sf):
     words = rows.select("clip", T.english_words(F.col("ref")).alias("r"), T.english_words(F.col("hyp")).alias("h"))
     drop = lambda c, out: F.filter(c, lambda w: ~w.isin(out))
     out = words.withColumns({"rn": drop(F.col("r"), ["um", "uh"]), "hn": drop(F.col("h"), ["um", "uh"])}).withColumns({"re": drop(F.col("rn"), ["namaste"]), "he": drop(F.col("hn"), ["namaste"])})
-    scored = out.select(*[x for r, h, n in (("r", "h", "raw"), ("rn", "hn", "nf"), ("re", "he", "en")) for x in (F.size(r).alias(f"words_{n}"), udfs.token_distance(r, h).alias(f"errors_{n}"))])
+    scored = out.select(*[x for r, h, n in (("r", "h", "raw"), ("rn", "hn", "nf"), ("re", "he", "en")) for x in (F.size(r).alias(f"words_{n}"), T.token_distance(r, h).alias(f"errors_{n}"))])
     return scored.agg(*[F.sum(c).alias(c) for c in scored.columns])
 
 

@@ -132,11 +132,16 @@ def evaluation_detection(spark, sf):
 def word_error_by_conversation(spark, sf):
     c = table(spark, sf, "conversations").select("conv_id", "turn", T.speech_words(F.col("text")).alias("w"))
     both = c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("w").alias("h")), ["conv_id", "turn"])
-    return both.withColumn("e", udfs.token_distance("w", "h")).groupBy("conv_id").agg(F.sum("e").alias("errors"), F.sum(F.size("w")).alias("words"), reports.error_rate(F.col("e"), F.size("w")).alias("rate"))
+    return both.withColumn("e", T.token_distance("w", "h")).groupBy("conv_id").agg(F.sum("e").alias("errors"), F.sum(F.size("w")).alias("words"), reports.error_rate(F.col("e"), F.size("w")).alias("rate"))
 
 
-@query(r"SELECT a.conv_id, a.turn, levenshtein(left(a.text, 60), left(b.text, 60))::INT AS chars FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE NOT regexp_matches(a.text || b.text, '[^\x00-\x7F]')")
+#: Letters of the texts beyond ASCII, and ASCII characters that the texts do not have; the other engine compares bytes.
+LETTERS, BYTES = "óéñèíüçêäößÉÑÈÓÜÍÇÖÊÄáàâîôûùëïúÁÀ", "!\"#$%&()*+/:;<=>?@[]^_{|}~0123456"
+PLAIN = f"translate(x.text, '{LETTERS}', '{BYTES}')"
+
+
+@query(f"SELECT a.conv_id, a.turn, levenshtein({PLAIN.replace('x.', 'a.')}, {PLAIN.replace('x.', 'b.')})::INT AS chars FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1")
 def character_distance(spark, sf):
     c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     both = c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next")), ["conv_id", "turn"])
-    return both.where(~F.concat("text", "next").rlike(r"[^\x00-\x7F]")).select("conv_id", "turn", F.levenshtein(F.left("text", F.lit(60)), F.left("next", F.lit(60))).alias("chars"))
+    return both.select("conv_id", "turn", F.levenshtein("text", "next").alias("chars"))

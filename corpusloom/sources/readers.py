@@ -148,7 +148,7 @@ def emoji_table(lines: DataFrame) -> DataFrame:
     """``category``, ``value``, ``name``, ``keywords``, ``base``: an indented line varies the base before it and has its name."""
     rows = with_section(lines.where(~F.col("value").rlike("^#") & (F.trim("value") != "")), F.nullif(F.regexp_extract("value", r"^\[([^\]]+)\]", 1), F.lit("")))
     parts = F.split("value", ";")
-    rows = rows.select("file", "line", F.col("section").alias("category"), F.col("value").startswith("\t").alias("varies"), F.trim(F.get(parts, 0)).alias("value"), F.trim(F.get(parts, 1)).alias("name"), F.filter(F.split(F.coalesce(F.get(parts, 2), F.lit("")), r"\|"), lambda k: k != "").alias("keywords"))
+    rows = rows.select("file", "line", F.col("section").alias("category"), F.col("value").startswith("\t").alias("varies"), F.btrim(F.get(parts, 0), F.lit(" \t")).alias("value"), F.trim(F.get(parts, 1)).alias("name"), F.filter(F.split(F.coalesce(F.get(parts, 2), F.lit("")), r"\|"), lambda k: k != "").alias("keywords"))
     w = Window.partitionBy("file", "category").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     base = F.last(F.when(~F.col("varies"), F.struct("value", "name", "keywords")), ignorenulls=True).over(w)
     rows = rows.withColumn("_base", base)

@@ -3,8 +3,6 @@
 import difflib
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.functions import language as G
@@ -109,11 +107,25 @@ def test_sequence_ratio_and_chrf(spark):
     assert one(spark, udfs.chrf(lit("abc"), lit("abd"))) == pytest.approx(100 * (2 / 3 + 1 / 2 + 0) / 3)
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.sampled_from("abc"), max_size=7), st.lists(st.sampled_from("abc"), max_size=7))
-def test_levenshtein_is_a_distance(a, b):
-    d = udfs.levenshtein(a, b)
-    assert d == udfs.levenshtein(b, a) and abs(len(a) - len(b)) <= d <= max(len(a), len(b)) and (d == 0) == (a == b)
+def slow_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_token_distance_is_the_edit_distance_of_words(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [([rng.choice(["a", "bb", "ё", "", "a b", "日"]) for _ in range(rng.randrange(9))], [rng.choice(["a", "bb", "ё", "c", "日"]) for _ in range(rng.randrange(9))]) for _ in range(80)]
+    rows += [([f"w{i}" for i in range(400)], [f"w{i}" for i in range(3, 403)]), ([], ["x"])]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a array<string>, b array<string>")
+    got = {r.i: r.d for r in df.select("i", T.token_distance("a", "b").alias("d")).collect()}
+    assert got == {i: slow_distance(a, b) for i, (a, b) in enumerate(rows)}
+    assert one(spark, T.token_distance(F.lit(None).cast("array<string>"), F.array(lit("x")))) == 1
 
 
 def test_splits_and_chunks(spark):
