@@ -18,7 +18,9 @@ is no shuffle and no group.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,11 +59,21 @@ BOILERPLATE = (
     "aceptar cookies", "aviso legal", "haga clic aquí", "ir al contenido", "iniciar sesión", "leer más", "política de cookies", "política de privacidad", "suscríbete", "todos los derechos reservados", "términos y condiciones", "utilizamos cookies", "volver arriba", "añadir al carrito",
     "accepter les cookies", "ajouter au panier", "aller au contenu", "cliquez ici", "conditions générales", "en savoir plus", "lire la suite", "mentions légales", "mot de passe oublié", "nous utilisons des cookies", "politique de confidentialité", "retour en haut", "s'abonner à", "tous droits réservés",
 )
-#: A word that is a separator, a link, or ends in doubled marks; a place where a sentence ends. Words are joined by one space.
-SEPARATOR = r"(?<![^ ])[|>»•·/\\-]+(?![^ ])"
-LINK = r"(?<![^ ])(?:https?://|www\.|[^ @]+@)[^ ]+"
-SHOUT = r"[!?]{2,}(?![^ ])"
-SENTENCE_END = "[.!?:…。！？][\"'’”»)\\]]*(?![^ ])"
+#: Words that are separators, links, or end in doubled marks, and places where a sentence ends, in words joined by one space with one at both ends.
+SEPARATOR = r" [|>»•·/\\-]+(?= )"
+LINK = r" (?:https?://|www\.|[^ @]+@)[^ ]+"
+SHOUT = r"[!?]{2,}(?= )"
+SENTENCE_END = "[.!?:…。！？][\"'’”»)\\]]*(?= )"
+SYMBOLS, OTHERS = "[#*$%&|<>]", "[^#*$%&|<>]+"
+
+
+def alternatives(phrases: list[str]) -> str:
+    """A pattern for any of the phrases that tries what they have in common once."""
+    by_first: dict[str, list[str]] = {}
+    for p in phrases:
+        by_first.setdefault(p[:1], []).append(p[1:])
+    parts = [re.escape(c) + alternatives(rest) if len(rest) > 1 else re.escape(c + rest[0]) for c, rest in by_first.items() if c]
+    return f"(?:{'|'.join(parts)})" + "?" * ("" in by_first) if parts else ""
 
 
 def repeated_words(words: Column) -> Column:
@@ -93,28 +105,32 @@ def repeated_words(words: Column) -> Column:
 
 
 def line_fails(line: Column, limits: Limits) -> Column:
-    """True for a line with words that is navigation, boilerplate, or not punctuated like prose."""
-    phrases = r"(?<![\p{L}\p{N}])(?:" + "|".join(BOILERPLATE) + r")(?![\p{L}\p{N}])"
+    """True for a line with words that is navigation, boilerplate, or not punctuated like prose.
+
+    Cheap tests come first: most lines end like a sentence and have no symbol, mark or link that is worth counting.
+    """
+    phrases = r"([^\p{L}\p{N}])" + alternatives(list(BOILERPLATE)) + r"(?![\p{L}\p{N}])"
 
     def of(joined: Column) -> Column:
         chars = F.length(F.replace(joined, F.lit(" "), F.lit("")))
         n = F.length(joined) - chars + 1
-        low = F.lower(joined)
-        count = lambda pattern: F.regexp_count(joined, F.lit(pattern))
-        symbols = F.length(F.regexp_replace(joined, r"[^#*$%&|<>]+", ""))
-        ends = count(SENTENCE_END)
+        low, padded = F.lower(joined), F.concat(F.lit(" "), joined, F.lit(" "))
+        count = lambda pattern: F.regexp_count(padded, F.lit(pattern))
+        has = lambda *parts: reduce(lambda a, b: a | b, [joined.contains(p) for p in parts])
         several = n >= limits.line_words
+        closed = (n <= limits.sentence_words) & F.right(joined, F.lit(1)).isin(".", "!", "?", "…", ":")
+        spoken = F.concat(F.lit(" "), low)
         return (joined != "") & (
-            (symbols * 100 > chars * limits.max_symbol_percent)
-            | (several & ((ends == 0) | (n > ends * limits.sentence_words)))
-            | (several & (joined == F.upper(joined)) & (joined != low))
-            | (count(SEPARATOR) * 100 > n * limits.max_separator_percent)
-            | (count(SHOUT) * 100 > n * limits.max_shout_percent)
-            | (count(LINK) * 100 > n * limits.max_link_percent)
-            | ((F.length(low) - F.length(F.regexp_replace(low, phrases, ""))) * 100 > F.length(low) * limits.max_boilerplate_percent)
+            (joined.rlike(SYMBOLS) & (F.length(F.regexp_replace(joined, OTHERS, "")) * 100 > chars * limits.max_symbol_percent))
+            | (several & ~closed & ((count(SENTENCE_END) == 0) | (n > count(SENTENCE_END) * limits.sentence_words)))
+            | (several & (joined != low) & (joined == F.upper(joined)))
+            | (joined.rlike(r"[|>»•·/\\-]") & (count(SEPARATOR) * 100 > n * limits.max_separator_percent))
+            | (has("!!", "??", "!?", "?!") & (count(SHOUT) * 100 > n * limits.max_shout_percent))
+            | (has("@", "://", "www.") & (count(LINK) * 100 > n * limits.max_link_percent))
+            | ((F.length(spoken) - F.length(F.regexp_replace(spoken, phrases, "$1"))) * 100 > F.length(low) * limits.max_boilerplate_percent)
         )
 
-    return let(F.array_join(words_of(line), " "), of)
+    return let(F.btrim(F.regexp_replace(line, WORD_SPACE, " "), F.lit(" ")), of)
 
 
 def judge(df: DataFrame, limits: Limits | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -148,7 +164,7 @@ def judge(df: DataFrame, limits: Limits | None = None, id_column: str = "doc_id"
         "id",
         let(words_of(F.col("text")), counts).alias("c"),
         let(F.split(text, "\n"), lines_of).alias("l"),
-        F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
+        F.when(text.rlike(SYMBOLS), F.length(F.regexp_replace(text, OTHERS, ""))).otherwise(0).cast("bigint").alias("n_symbols"),
     )
     good = F.array_join("l.good", "\n")
     rows = rows.select("id", "c.*", "n_symbols", "l.n_dup_lines", (F.col("l.n_lines") - F.size("l.good")).cast("bigint").alias("n_lines_removed"), good.alias("clean_text"), F.length(F.regexp_replace(good, WORD_SPACE, "")).cast("bigint").alias("kept_chars"))
