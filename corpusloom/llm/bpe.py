@@ -125,6 +125,18 @@ class PairIndex:
         return out
 
 
+class Letters(dict):
+    """What the rules make of a letter, by code point: filled as letters are met, for ``str.translate``."""
+
+    def __init__(self, pieces_of: Callable[[str], list[str]]):
+        self.pieces_of = pieces_of
+
+    def __missing__(self, point: int) -> str:
+        (made,) = self.pieces_of(chr(point))
+        self[point] = made
+        return made
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file; ``encode`` is the pair index or the library itself."""
 
@@ -155,25 +167,18 @@ class Codec:
         # Letters that stay letters under any of the file's rules, then punctuation that starts no contraction and no
         # added token: pieces that are known without asking the library for each chunk.
         self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:;=?@\[-`{}~]*)")
-        self.letters: dict[int, str] = {}
-        self.known_rules = bool(suffix) and self.pieces_of("Éa!?") == [self.letter("É") + self.letter("a"), "!?"]
+        self.letters = Letters(self.pieces_of)
+        self.known_rules = bool(suffix) and self.pieces_of("Éa!?") == ["Éa".translate(self.letters), "!?"]
 
     def pieces_of(self, text: str) -> list[str]:
         if self.library.normalizer:
             text = self.library.normalizer.normalize_str(text)
         return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
-    def letter(self, c: str) -> str:
-        """What the rules make of a letter."""
-        if (made := self.letters.get(ord(c))) is None:
-            (made,) = self.pieces_of(c)
-            self.letters[ord(c)] = made
-        return made
-
     def cut(self, chunk: str) -> list:
         """The pieces of a chunk of raw text: strings to be merged, and ids of added tokens."""
         if self.known_rules and (found := self.simple.fullmatch(chunk)):
-            word = "".join(map(self.letter, found[1]))
+            word = found[1].translate(self.letters)
             return [word, found[2]] if found[2] else [word]
         out: list = []
         for part in self.split.split(chunk) if self.split else [chunk]:
