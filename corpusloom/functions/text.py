@@ -170,6 +170,14 @@ def section(document: Column, heading: str) -> Column:
     return F.when(at > 0, F.trim(F.regexp_replace(rest, r"(?s)\n## .*$", "")))
 
 
+def with_proposal(document: Column, title: Column, rule: Column, examples: Column) -> Column:
+    """A document with a proposed rule put before its first placeholder ``(none yet)``, or at its end; ``examples``: array of texts."""
+    entry = F.concat(F.lit("### Proposed: "), title, F.lit("\n\n"), rule, F.lit("\n\nExamples: "), F.array_join(examples, "; "))
+    at = F.locate("(none yet)", document)
+    inside = F.concat(F.substring(document, F.lit(1), at - 1), F.btrim(entry, F.lit(" \n\t")), F.lit("\n\n"), F.substring(document, at, F.length(document)))
+    return F.when(at > 0, inside).otherwise(F.concat(F.rtrim(document, F.lit("\n")), F.lit("\n\n"), entry, F.lit("\n")))
+
+
 def template(pattern: str, **values: Column) -> Column:
     """``{name}`` slots filled with columns."""
     out = F.lit(pattern)

@@ -77,6 +77,27 @@ def rekeyed(rows: DataFrame, seeds: DataFrame, column: str, min_ratio: float = 0
     return rows.join(found, column, "left").withColumn("echoed", F.when(F.col("seed").isNotNull(), F.col(column))).withColumn(column, F.coalesce("seed", column)).drop("seed")
 
 
+def fluency_issues(lines: DataFrame, key: str, text: str, words: DataFrame, max_unknown: int = 1) -> DataFrame:
+    """``key`` and ``issue`` of each line of Russian: ``doubled_capital``, ``unknown_words`` or null.
+
+    ``words`` (one column, lower case) are the known words. A capital that is doubled by mistake stands before the same
+    letter: the token is unknown, the token without its first letter is known. More than ``max_unknown`` unknown tokens
+    are an issue too. Distinct tokens are looked up once each, in an equi join; without a word list no line has an issue.
+    """
+    known = words.toDF("_word").distinct()
+    if not known.head(1):
+        return lines.select(key, F.lit(None).cast("string").alias("issue"))
+    tokens = lines.select(key, F.explode_outer(F.regexp_extract_all(F.col(text), F.lit("[А-Яа-яЁё]+"), F.lit(0))).alias("_t"))
+    low, rest = F.lower("_t"), F.substring(F.col("_t"), F.lit(2), F.length("_t"))
+    shape = (F.length("_t") > 2) & (F.left("_t", F.lit(1)) != F.left(low, F.lit(1))) & (F.left(rest, F.lit(1)) == F.left(low, F.lit(1)))
+    distinct = tokens.select("_t").distinct().where("_t is not null").select("_t", low.alias("_low"), F.when(shape, rest).alias("_rest"))
+    seen = known.withColumn("_known", F.lit(True))
+    found = distinct.join(seen.withColumnRenamed("_word", "_low"), "_low", "left").withColumnRenamed("_known", "_is")
+    found = found.join(seen.withColumnRenamed("_word", "_rest"), "_rest", "left").select("_t", F.col("_is").isNull().alias("_odd"), (F.col("_is").isNull() & F.col("_known").isNotNull()).alias("_double"))
+    per = tokens.join(found, "_t", "left").groupBy(key).agg(F.max("_double").alias("_d"), F.count_if("_odd").alias("_n"))
+    return per.select(key, F.when(F.col("_d"), "doubled_capital").when(F.col("_n") > max_unknown, "unknown_words").alias("issue"))
+
+
 def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase: str) -> DataFrame:
     """``key`` and the columns of ``phrases`` for each text that contains the phrase; keys name texts.
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions import vectors as V
+from corpusloom.shared import written
+
 #: Vectors of a tile; two tiles are compared in one task.
 TILE = 1024
 
@@ -24,7 +29,8 @@ def near_pairs(df: DataFrame, key: str, vector: str, group: str, least: float) -
     """``i``, ``j`` (i < j) and ``cos`` of all pairs of a class with a cosine of at least ``least``.
 
     Classes are cut into tiles; a task multiplies two tiles as matrices, so memory is bounded by the tile and a large
-    class is spread over many tasks. All pairs of a class are compared: the join is exact.
+    class is spread over many tasks. All pairs of a class are compared: the join is exact at any ``least``, and the way
+    to go for low ones. For cosines of near duplicates take ``banded_pairs``.
     """
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -45,6 +51,38 @@ def near_pairs(df: DataFrame, key: str, vector: str, group: str, least: float) -
     return cells.groupBy("g", "a", "b").applyInPandas(compare, "i long, j long, cos double")
 
 
+def banded_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, recall: float = 0.9999, bits: int = 16) -> DataFrame:
+    """As ``near_pairs`` for a high ``least``, without comparing all vectors of a class.
+
+    Candidates share the signs of ``bits`` random hyperplanes in one of several tables; their cosine is then exact. A
+    pair at ``least`` agrees in one sign with probability ``1 - acos(least) / pi``; the number of tables follows from the
+    ``recall`` that such a pair must have, closer pairs have more. Only ids and table keys are paired; vectors are
+    joined to the distinct candidates.
+    """
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(group).alias("g"))
+    agree = (1 - math.acos(least) / math.pi) ** bits
+    tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
+
+    def sign(batches):
+        planes = None
+        for rows in batches:
+            if not len(rows):
+                continue
+            x = np.stack(rows["v"].to_list()).astype(float)
+            if planes is None:
+                planes = np.random.default_rng(7).standard_normal((x.shape[1], tables * bits))
+            signs = (x @ planes > 0).reshape(len(x), tables, bits)
+            keys = signs @ (1 << np.arange(bits))
+            yield pd.DataFrame({"id": np.repeat(rows["id"].to_numpy(), tables), "g": np.repeat(rows["g"].to_numpy(), tables), "t": np.tile(np.arange(tables), len(x)), "k": keys.ravel()})
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    keyed = rows.mapInPandas(sign, f"id {kinds['id']}, g {kinds['g']}, t int, k long")
+    other = keyed.select(F.col("id").alias("j"), F.col("g").alias("h"), F.col("t").alias("u"), F.col("k").alias("l"))
+    pairs = keyed.join(other, F.col("g").eqNullSafe(F.col("h")) & (F.col("t") == F.col("u")) & (F.col("k") == F.col("l")) & (F.col("id") < F.col("j"))).select(F.col("id").alias("i"), "j").distinct()
+    both = pairs.join(rows.select(F.col("id").alias("i"), F.col("v").alias("a")), "i").join(rows.select(F.col("id").alias("j"), F.col("v").alias("b")), "j")
+    return both.select("i", "j", V.dot(F.col("a"), F.col("b")).alias("cos")).where(F.col("cos") >= least)
+
+
 def neighbour_counts(df: DataFrame, key: str, vector: str, group: str, least: float) -> DataFrame:
     """Number of other vectors of the class with a cosine of at least ``least``; 0 for none."""
     pairs = near_pairs(df, key, vector, group, least)
@@ -52,29 +90,20 @@ def neighbour_counts(df: DataFrame, key: str, vector: str, group: str, least: fl
     return df.select(F.col(key).alias("id")).join(ends, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("neighbours"))
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
-    return df.checkpoint()
-
-
 def groups(nodes: DataFrame, key: str, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``id`` and ``root`` (smallest id) of the component of each node.
 
     Each round takes the smallest label of the neighbours and then the label of that label, so long chains shorten by
-    powers; rounds end when no label changes, and are checkpointed.
+    powers; rounds end when no label changes, and are written to the shared folder.
     """
     both = edges.select("i", "j").union(edges.select(F.col("j").alias("i"), F.col("i").alias("j"))).distinct()
-    both = _checkpointed(both)
-    label = _checkpointed(both.select(F.col("i").alias("id")).distinct().withColumn("root", F.col("id")))
+    both = written(both, "edges")
+    label = written(both.select(F.col("i").alias("id")).distinct().withColumn("root", F.col("id")), "labels")
     for _ in range(rounds):
         least = both.join(label.withColumnRenamed("id", "j"), "j").groupBy("i").agg(F.min("root").alias("m"))
         moved = label.join(least, F.col("id") == F.col("i"), "left").select("id", F.least("root", F.coalesce("m", "root")).alias("root"))
         jump = moved.select(F.col("id").alias("_id"), F.col("root").alias("_root"))
-        new = _checkpointed(moved.join(jump, F.col("root") == F.col("_id"), "left").select("id", F.least("root", F.coalesce("_root", "root")).alias("root")))
+        new = written(moved.join(jump, F.col("root") == F.col("_id"), "left").select("id", F.least("root", F.coalesce("_root", "root")).alias("root")), "labels")
         changed = new.join(label.withColumnRenamed("root", "old"), "id").where("root <> old").limit(1).count()
         label = new
         if not changed:

@@ -28,7 +28,7 @@ def curated(rows: DataFrame, held_files: list[str], frozen: DataFrame | None = N
         rows = rows.join(frozen.select(T.exact_key(F.col("source_text")).alias("_k")), T.exact_key(F.col("source_text")) == F.col("_k"), "left_anti")
         rows = rows.unionByName(frozen.withColumn("fixed", F.lit("test")), allowMissingColumns=True)
     rows = rows.withColumn("id", F.xxhash64("source_lang", "source_text", "fixed"))
-    pairs = vectors_join.near_pairs(rows, "id", "vector", "source_lang", near)
+    pairs = vectors_join.banded_pairs(rows, "id", "vector", "source_lang", near)
     rows = rows.join(vectors_join.groups(rows, "id", pairs), "id")
     g = Window.partitionBy("root")
     rows = rows.withColumns({"has_fixed": F.max(F.col("fixed").isNotNull().cast("int")).over(g) == 1, "size": F.count("*").over(g)})

@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType
 
 from corpusloom.functions import text as T
 from corpusloom.functions import udfs
+from corpusloom.shared import file_system
 
 
 def json_lines(spark: SparkSession, path: str | list[str], schema: str, strict: bool = True) -> DataFrame:
@@ -34,9 +35,17 @@ def final_batches(df: DataFrame, column: str = "_batch_file") -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, ``line`` (from 1) and ``value`` of text files: each file is read whole, so numbers are stable."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value")).withColumn("line", F.col("line") + 1)
+    """``file``, ``line`` (from 1) and ``value`` of text files.
+
+    Files are read in blocks like any other text: lines are numbered within their block, and a prefix sum over the
+    blocks' counts, one row for each block, gives the number in the file.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
+    rows = rows.withColumn("_in", F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_at")))
+    counts = rows.groupBy("_path", "_block").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_path", "_block", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.join(starts, ["_path", "_block"]).select("file", (F.col("_start") + F.col("_in")).alias("line"), "value")
 
 
 def seeds(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
@@ -53,15 +62,21 @@ def distinct_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    hadoop, files = file_system(spark, path)
+    found = files.globStatus(hadoop)
     return found is not None and len(found) > 0
 
 
+def saved_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a state that an earlier run saved as JSON lines; none before the first run."""
+    return json_lines(spark, path, schema) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def aligned_zip(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
     """``line``, ``ru``, ``en``, ``film`` of archives with line-aligned ``.ru``, ``.en`` and perhaps ``.ids`` members.
 
-    An archive is one row for a worker; its members are streamed line by line, and lines leave in batches.
+    An archive is one row for a worker, so it must be smaller than 2 GB (larger ones come as several); its members are
+    streamed line by line, and lines leave in batches.
     """
 
     def read(batches):

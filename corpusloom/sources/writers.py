@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.shared import file_system
+
 
 def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
@@ -50,12 +52,41 @@ def saved_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def single_file(df: DataFrame, path: str, kind: str = "json") -> None:
+    """One file with a name of its own, as batches and reports have it: a small result, written by one task and renamed."""
+    spark = df.sparkSession
+    aside, files = file_system(spark, f"{path}.parts")
+    df.coalesce(1).write.mode("overwrite").format(kind).save(f"{path}.parts")
+    (part,) = [s.getPath() for s in files.listStatus(aside) if s.getPath().getName().startswith("part-")]
+    target, _ = file_system(spark, path)
+    files.delete(target, False)
+    if not files.rename(part, target):
+        raise OSError(f"{path} was not written")
+    files.delete(aside, True)
+
+
 def file_manifest(spark: SparkSession, path: str, tier: Column, version: str) -> DataFrame:
-    """Tier, name, version, size and SHA-256 of each file; two files of a tier are an error."""
-    files = spark.read.format("binaryFile").load(path).select(tier.alias("tier"), F.col("_metadata.file_name").alias("file"), F.lit(version).alias("version"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    if files.groupBy("tier").count().where("count > 1").limit(1).count():
+    """Tier, name, version, size and SHA-256 of each file; two files of a tier are an error.
+
+    ``tier`` may read ``_metadata.file_name``. Model files have gigabytes: each is digested as a stream, a few of them in all, and never held as a row.
+    """
+    pattern, files = file_system(spark, path)
+    found = [s for s in files.globStatus(pattern) or [] if s.isFile()]
+    digest = spark.sparkContext._jvm.org.apache.commons.codec.digest.DigestUtils
+
+    def sha256(status) -> str:
+        stream = files.open(status.getPath())
+        try:
+            return digest.sha256Hex(stream)
+        finally:
+            stream.close()
+
+    rows = [(s.getPath().getName(), version, s.getLen(), sha256(s)) for s in found]
+    made = spark.createDataFrame(rows, "file string, version string, bytes bigint, sha256 string")
+    made = made.withColumn("_metadata", F.struct(F.col("file").alias("file_name"))).select(tier.alias("tier"), "file", "version", "bytes", "sha256")
+    if made.groupBy("tier").count().where("count > 1").limit(1).count():
         raise ValueError("more than one file of a tier")
-    return files
+    return made
 
 
 def without_ids(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
