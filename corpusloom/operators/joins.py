@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions import udfs
+from corpusloom.shared import written
 
 #: Rows that a lookup side may have before it is no longer broadcast.
 SMALL = 50_000
@@ -52,9 +53,10 @@ def with_meta(seeds: DataFrame, meta: DataFrame, key: str, line: str) -> DataFra
 def rekeyed(rows: DataFrame, seeds: DataFrame, column: str, min_ratio: float = 0.95, margin: float = 0.2) -> DataFrame:
     """``column`` pointed back at its seed: exactly after the typographic fold, else at the closest seed.
 
-    The closest seed must be ``min_ratio`` alike and beat the next one by ``margin``. Length bounds the ratio from
-    above, so only seeds of a like length, put in buckets of lengths, are candidates for the best place; the runner-up
-    is looked for among seeds that can come within the margin of it.
+    The closest seed must be ``min_ratio`` alike and beat the next one by ``margin``. A ratio that high bounds the number
+    of common two-letter pieces from below, so a row and its closest seed share one of their rarest pieces
+    (``alike_candidates``): only rows with such a seed go on. For them the runner-up is looked for among the seeds of a
+    like length, as length bounds the ratio from above.
     """
     keys = seeds.select(F.col(column).alias("seed")).distinct().withColumn("norm", T.typographic_fold(udfs.compatible_form("seed")))
     keys = keys.groupBy("norm").agg(F.max("seed").alias("seed"))
@@ -62,7 +64,10 @@ def rekeyed(rows: DataFrame, seeds: DataFrame, column: str, min_ratio: float = 0
     odd = rows.select(column).where(F.coalesce(column, F.lit("")) != "").distinct().join(known, F.col(column) == F.col("_known"), "left_anti")
     odd = odd.withColumn("norm", T.typographic_fold(udfs.compatible_form(column)))
     exact = odd.join(keys, "norm").select(column, "seed")
-    rest = odd.join(keys, "norm", "left_anti")
+    rest = written(odd.join(keys, "norm", "left_anti"), "odd")
+    pairs = alike_candidates(rest.select("norm").distinct(), keys.select("norm"), "norm", min_ratio)
+    hopeful = pairs.where(udfs.sequence_ratio("a", "b") >= min_ratio).select(F.col("a").alias("norm")).distinct()
+    rest = rest.join(hopeful, "norm", "left_semi")
     # a ratio over r needs 2 * min(len) / (len + len) > r; lengths differ by a factor of (2 - r) / r at most
     reach = (2 - (min_ratio - margin)) / (min_ratio - margin)
     step = math.log(reach)
@@ -77,6 +82,32 @@ def rekeyed(rows: DataFrame, seeds: DataFrame, column: str, min_ratio: float = 0
     return rows.join(found, column, "left").withColumn("echoed", F.when(F.col("seed").isNotNull(), F.col(column))).withColumn(column, F.coalesce("seed", column)).drop("seed")
 
 
+def alike_candidates(left: DataFrame, right: DataFrame, text: str, ratio: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of distinct texts that hold all pairs whose matching blocks make up ``ratio`` of both.
+
+    With n characters on one side, such a pair shares at least ``n * (2 * ratio / (2 - ratio) - 1) - 1`` two-letter pieces
+    (repeated ones numbered). In one order of all pieces, the rarest of ``right`` first, the first shared piece then lies
+    among the first ``n`` less that many of each side: only those are joined. A text of one letter has no piece.
+    """
+    keep = 2 * ratio / (2 - ratio) - 1
+
+    def pieces(df: DataFrame) -> DataFrame:
+        n = F.length("t")
+        each = df.select(F.col(text).alias("t")).where(n > 1).select("t", F.explode(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(F.col("t"), i, F.lit(2)))).alias("g"))
+        counted = each.groupBy("t", "g").agg(F.count("*").cast("int").alias("n"))
+        return counted.select("t", F.explode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.concat("g", k.cast("string")))).alias("g"))
+
+    b = written(pieces(right), "pieces")
+    often = b.groupBy("g").agg(F.count("*").alias("n"))
+
+    def rarest(df: DataFrame) -> DataFrame:
+        listed = df.join(often, "g", "left").groupBy("t").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g"))).alias("gs"))
+        needed = F.greatest(F.lit(1), F.ceil(F.length("t") * keep - 1).cast("int"))
+        return listed.select("t", F.explode(F.slice("gs", 1, F.greatest(F.lit(1), F.size("gs") - needed + 1))).alias("p")).select("t", "p.g")
+
+    return rarest(pieces(left)).toDF("a", "g").join(rarest(b).toDF("b", "g"), "g").select("a", "b").distinct()
+
+
 def fluency_issues(lines: DataFrame, key: str, text: str, words: DataFrame, max_unknown: int = 1) -> DataFrame:
     """``key`` and ``issue`` of each line of Russian: ``doubled_capital``, ``unknown_words`` or null.
 
@@ -102,14 +133,18 @@ def containing(texts: DataFrame, key: str, text: str, phrases: DataFrame, phrase
     """``key`` and the columns of ``phrases`` for each text that contains the phrase; keys name texts.
 
     Phrases meet texts by an inner word, which is whole on both sides: an equi join of keys and words, without the
-    texts. Only the candidates' texts are searched. Phrases of one or two words are tried on all texts and must be few.
+    texts. Only the candidates' texts are searched. Phrases of one or two words are tried on all texts; more than
+    ``SMALL`` of them are an error.
     """
     inner = F.filter(F.slice(F.split(phrase, " "), 2, F.greatest(F.size(F.split(phrase, " ")) - 2, F.lit(0))), lambda w: w != "")
     anchored = phrases.withColumn("_w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w), w.alias("w"))))["w"])
     words = texts.select(key, F.explode(F.array_distinct(F.split(text, " "))).alias("_w"))
     candidates = words.join(small(anchored.where("_w is not null")), "_w").drop("_w")
     hits = candidates.join(texts.select(key, F.col(text).alias("_t")), key).where(F.contains("_t", F.col(phrase)))
-    loose = texts.select(key, F.col(text).alias("_t")).join(small(anchored.where("_w is null")), F.contains(F.col("_t"), F.col(phrase)))
+    short = anchored.where("_w is null")
+    if short.limit(SMALL + 1).count() > SMALL:
+        raise ValueError("too many phrases of one or two words: each is searched in every text")
+    loose = texts.select(key, F.col(text).alias("_t")).join(F.broadcast(short), F.contains(F.col("_t"), F.col(phrase)))
     columns = [key, *phrases.columns]
     return hits.select(columns).unionByName(loose.select(columns))
 

@@ -123,6 +123,67 @@ def test_fuzzy_rekey(spark):
     assert got[2] == "день рождения сегодня вечером"
 
 
+def test_alike_candidates_hold_every_close_pair(spark):
+    import difflib
+    import random
+
+    rng = random.Random(6)
+    seeds = list({"".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(1, 60))) for _ in range(120)})
+    rows = set()
+    for s in seeds:
+        t = list(s)
+        for _ in range(rng.randrange(3)):
+            t[rng.randrange(len(t))] = rng.choice("abcdexyz")
+        rows.add("".join(t))
+    rows = list(rows)
+    frame = lambda texts: spark.createDataFrame([(t,) for t in texts], "t string")
+    for ratio in (0.8, 0.95):
+        got = {(r.a, r.b) for r in joins.alike_candidates(frame(rows), frame(seeds), "t", ratio).collect()}
+        want = {(a, b) for a in rows for b in seeds if a != b and difflib.SequenceMatcher(None, a, b).ratio() >= ratio}
+        assert want <= got and len(want) > 20
+    assert len(got) < len(rows) * len(seeds) / 4
+
+
+def test_runs_stop_skip_and_go_on(spark):
+    pairs = spark.createDataFrame([(f"s{i}", "m") for i in range(60)], "seed string, model string").coalesce(1).sortWithinPartitions("seed")
+
+    def call(seed, model):
+        if seed == "s40":
+            raise seams.OutOfCredits("none left")
+        if seed in ("s1", "s10", "s11", "s12", "s13"):
+            raise ValueError("broken")
+        return seed
+
+    by = lambda df: Counter(r.status for r in df.collect())
+    got = by(seams.answered(pairs, call, None))
+    assert got == {"ok": 30, "failed": 5, "out of credits": 25}  # s0, s1, s10, ... in the order of texts
+    assert by(seams.answered(pairs, call, 4))["skipped"] == 55 and by(seams.answered(pairs, call, None, lambda: False)) == {"out of credits": 60}
+    first = seams.answered(pairs, call, None)
+    after = seams.resumed(pairs.select("seed"), spark.createDataFrame([("m",)], "model string"), first, lambda s, m: "later", None).collect()
+    assert len(after) == 60 and Counter(r.reply == "later" for r in after) == {False: 30, True: 30}
+
+
+def test_mining_run_keeps_its_quotas(spark):
+    from corpusloom.queries import queries
+
+    rows = queries()["mining_run"](spark, "/root/testdata/sf0.001").collect()
+    assert 0 < len(rows) <= 6 and len({r.source for r in rows}) == len(rows)
+    assert {r.kind for r in rows} <= {"rewrite", "local_swap"} and {r.direction for r in rows} <= {"ru-en", "en-ru"}
+    assert rows == sorted(rows, key=lambda r: (-r.score, r.source))
+
+
+def test_lines_are_numbered_over_blocks(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(5000)))
+    (tmp_path / "b.txt").write_text("x\n\ny")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000b")
+    try:
+        got = {(r.file, r.line): r.value for r in readers.numbered_lines(spark, f"{tmp_path}/*.txt").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {("a.txt", i + 1): f"line {i}" for i in range(5000)} | {("b.txt", 1): "x", ("b.txt", 2): "", ("b.txt", 3): "y"}
+
+
 def test_alignment(spark):
     ru = spark.createDataFrame([("v", 1.0, 2.0, "a"), ("v", 2.1, 3.0, "b"), ("v", 10.0, 11.0, "c")], "video string, start double, end double, text string")
     en = spark.createDataFrame([("v", 1.0, 3.0, "ab"), ("v", 10.0, 11.0, "c")], "video string, start double, end double, text string")
