@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.shared import dropped, shared_path, shared_root, written  # noqa: F401
+
 #: White space of the word contracts, as a Java character class.
 WORD_SPACE = r"[ \t-\r]+"
 #: Rows and bytes of one Arrow batch between the JVM and a Python worker.
@@ -21,41 +20,6 @@ BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 HOT_KEYS = 1000
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a folder of our own only where it is unset and driver and executors are one machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that they share")
-        root = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: its lineage ends there."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a frame made by ``written`` once nothing reads it any more."""
-    spark = df.sparkSession
-    root = shared_root(spark)
-    for path in {os.path.dirname(f) for f in df.inputFiles()}:
-        if "/" + path.split(":", 1)[-1].lstrip("/") == "/" + root.split(":", 1)[-1].lstrip("/"):
-            continue
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def joined(rows: DataFrame, marks: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``marks``, which has one row for each key and the number of its ``rows`` in ``weight``.
 
