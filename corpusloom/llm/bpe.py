@@ -19,8 +19,7 @@ import heapq
 import json
 import os
 import re
-import sys
-from array import array
+import string
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -29,8 +28,9 @@ from pyspark.sql import DataFrame
 
 from corpusloom.llm.common import map_batches, text_bytes
 
-#: Chunks in each of the two generations of a worker's memo, and text bytes that are encoded together.
-MEMO, BLOCK = 250_000, 1 << 20
+#: Chunks in each of the two generations of a worker's memo, pieces likewise, and text bytes that are encoded together.
+PIECES = 100_000
+MEMO, BLOCK = 200_000, 1 << 20
 
 
 class Memo:
@@ -44,11 +44,12 @@ class Memo:
         if len(self.new) > self.size:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
-        missing = [k for k in keys if k not in new]
+        missing = set(keys).difference(new)
         if missing:
-            fresh = [k for k in missing if k not in old]
+            fresh = list(missing.difference(old))
             if len(fresh) < len(missing):
-                new.update((k, old[k]) for k in missing if k in old)
+                missing.difference_update(fresh)
+                new.update(zip(missing, map(old.__getitem__, missing), strict=True))
             new.update(zip(fresh, make(fresh), strict=True))
         return self.new
 
@@ -57,72 +58,81 @@ class PairIndex:
     """Merges of one vocabulary, applied to many pieces at once."""
 
     def __init__(self, vocab: dict[str, int], merges: list, suffix: str):
-        self.vocab, self.suffix, self.rank = vocab, suffix, {}
+        self.vocab, self.suffix, self.rank, self.pair_of = vocab, suffix, {}, []
+        self.shift = max(vocab.values(), default=0).bit_length()
         made: dict[int, int] = {}
         for rank, pair in enumerate(merges):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             a, b, ab = vocab[left], vocab[right], vocab[left + right]
-            self.rank[a, b] = rank, ab
+            self.rank[a << self.shift | b] = rank
             made.setdefault(ab, rank)
-        if len(made) < len(self.rank) or any(max(made.get(a, -1), made.get(b, -1)) >= rank for (a, b), (rank, _) in self.rank.items()):
+            self.pair_of.append((a, b, ab))
+        if len(made) < len(self.rank) or len(self.rank) < len(merges) or any(max(made.get(a, -1), made.get(b, -1)) >= rank for rank, (a, b, _) in enumerate(self.pair_of)):
             raise ValueError("a merge comes before the merges that make its parts: ascending ranks would not be exact")
 
-    def encode(self, pieces: list[str]) -> list[list[int]]:
-        vocab, rank_of = self.vocab, self.rank.get
-        symbols: list[int] = []
-        ends: list[int] = []
-        for piece in pieces:
-            for c in piece[:-1]:
-                if (i := vocab.get(c)) is not None:
-                    symbols.append(i)
-            if piece and (i := vocab.get(piece[-1] + self.suffix)) is not None:
-                symbols.append(i)
-            symbols.append(-1)
-            ends.append(len(symbols) - 1)
-        n = len(symbols)
+    def letters_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all pieces in a row, -1 behind each, and where the -1 stand; characters without a symbol go."""
+        text = np.frombuffer("\n".join([*pieces, ""]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        stops = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 1) - 1
+        distinct, back = np.unique(text, return_inverse=True)
+        get, chars = self.vocab.get, list(map(chr, distinct.tolist()))
+        inner, last = (np.array([get(c + end, -2) for c in chars], dtype=np.int64) for end in ("", self.suffix))
+        symbols = inner[back]
+        filled = np.flatnonzero(np.diff(stops, prepend=-1) > 1)
+        symbols[stops[filled] - 1] = last[back[stops[filled] - 1]]
+        symbols[stops] = -1
+        symbols = symbols[symbols != -2]
+        return symbols, np.flatnonzero(symbols == -1)
+
+    def occurrences(self, symbols: np.ndarray) -> dict[int, list[int]]:
+        """Rank to all positions of its pair, ascending."""
+        distinct, back = np.unique(symbols, return_inverse=True)
+        n, known = len(distinct), distinct.tolist()
+        pairs, where = np.unique(back[:-1] * n + back[1:], return_inverse=True)
+        get, shift = self.rank.get, self.shift
+        ranks = np.array([get(known[p // n] << shift | known[p % n], -1) if known[p // n] >= 0 and known[p % n] >= 0 else -1 for p in pairs.tolist()], dtype=np.int64)[where]
+        at = np.flatnonzero(ranks >= 0)
+        at = at[np.argsort(ranks[at], kind="stable")]
+        cuts = np.flatnonzero(np.diff(ranks[at])) + 1
+        return {int(ranks[some[0]]): some.tolist() for some in np.split(at, cuts) if len(some)}
+
+    def encode_all(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and the end of each piece among them."""
+        made, stops = self.letters_of(pieces)
+        index = self.occurrences(made) if len(made) > 1 else {}
+        rank_of, pair_of, shift = self.rank.get, self.pair_of, self.shift
+        symbols, n = made.tolist(), len(made)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        index: dict[int, list[int]] = {}
-        target: dict[int, tuple[int, int, int]] = {}
-        for p in range(n - 1):
-            pair = symbols[p], symbols[p + 1]
-            if (found := rank_of(pair)) is not None:
-                r = found[0]
-                if r in index:
-                    index[r].append(p)
-                else:
-                    index[r] = [p]
-                    target[r] = *pair, found[1]
         active = list(index)
         heapq.heapify(active)
         while active:
             r = heapq.heappop(active)
-            a, b, ab = target[r]
+            a, b, ab = pair_of[r]
             for p in sorted(index.pop(r)):
-                q = after[p] if p < n else n
-                if symbols[p] != a or q >= n or symbols[q] != b:
+                if symbols[p] != a or symbols[q := after[p]] != b:  # a -1 stands behind the last symbol
                     continue
                 symbols[p], symbols[q] = ab, -2
                 after[p] = end = after[q]
-                if end < n:
-                    before[end] = p
-                    pair = ab, symbols[end]
-                    if (found := rank_of(pair)) is not None:
-                        if found[0] not in index:
-                            index[found[0]], target[found[0]] = [], (*pair, found[1])
-                            heapq.heappush(active, found[0])
-                        index[found[0]].append(p)
-                if (left := before[p]) >= 0:
-                    pair = symbols[left], ab
-                    if (found := rank_of(pair)) is not None:
-                        if found[0] not in index:
-                            index[found[0]], target[found[0]] = [], (*pair, found[1])
-                            heapq.heappush(active, found[0])
-                        index[found[0]].append(left)
-        out, start = [], 0
-        for end in ends:
-            out.append([s for s in symbols[start:end] if s >= 0])
-            start = end + 1
-        return out
+                before[end] = p
+                if (x := symbols[end]) >= 0 and (found := rank_of(ab << shift | x)) is not None:
+                    if found in index:
+                        index[found].append(p)
+                    else:
+                        index[found] = [p]
+                        heapq.heappush(active, found)
+                if (left := before[p]) >= 0 and (x := symbols[left]) >= 0 and (found := rank_of(x << shift | ab)) is not None:
+                    if found in index:
+                        index[found].append(left)
+                    else:
+                        index[found] = [left]
+                        heapq.heappush(active, found)
+        whole = np.array(symbols, dtype=np.int64)
+        return whole[whole >= 0], np.cumsum(whole >= 0)[stops] if len(stops) else stops
+
+    def encode(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece."""
+        ids, ends = self.encode_all(pieces)
+        return [x.tolist() for x in np.split(ids, ends[:-1])] if pieces else []
 
 
 class Letters(dict):
@@ -158,7 +168,7 @@ class Codec:
             if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in rules["added_tokens"]):
                 raise ValueError("the pair index reads added tokens that match the raw text")
             self.merger = PairIndex(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
-            self.pieces = Memo(MEMO)
+            self.pieces = Memo(PIECES)
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.by_library = by_library
         self.ends = np.zeros(max(self.names) + 1, dtype=np.int64)
@@ -168,6 +178,7 @@ class Codec:
         # added token: pieces that are known without asking the library for each chunk.
         self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:;=?@\[-`{}~]*)")
         self.letters = Letters(self.pieces_of)
+        self.lowers = self.pieces_of("ABCXYZabcxyz") == ["abcxyzabcxyz"] and all("".join(self.pieces_of(c)) == c.lower() for c in string.ascii_letters)
         self.known_rules = bool(suffix) and self.pieces_of("Éa!?") == ["Éa".translate(self.letters), "!?"]
 
     def pieces_of(self, text: str) -> list[str]:
@@ -175,24 +186,36 @@ class Codec:
             text = self.library.normalizer.normalize_str(text)
         return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
-    def cut(self, chunk: str) -> list:
+    def cut(self, chunk: str) -> tuple:
         """The pieces of a chunk of raw text: strings to be merged, and ids of added tokens."""
-        if self.known_rules and (found := self.simple.fullmatch(chunk)):
-            word = found[1].translate(self.letters)
-            return [word, found[2]] if found[2] else [word]
+        if self.known_rules:
+            if self.lowers and chunk.isalpha() and chunk.isascii():
+                return (chunk.lower(),)
+            if found := self.simple.fullmatch(chunk):
+                word = found[1].translate(self.letters)
+                return (word, found[2]) if found[2] else (word,)
         out: list = []
         for part in self.split.split(chunk) if self.split else [chunk]:
             if part in self.added:
                 out.append(self.added[part])
             elif part:
                 out += self.pieces_of(part)
-        return out
-
-    def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        texts = [c.decode() for c in chunks]
-        cuts = [self.cut(t) for t in texts]
-        ids = self.pieces.fill({p for cut in cuts for p in cut if isinstance(p, str)}, self.merger.encode)
-        return [[i for p in cut for i in (ids[p] if isinstance(p, str) else (p,))] for cut in cuts]
+        return tuple(out)
+
+    def made(self, pieces: list) -> list[tuple[bytes, bytes]]:
+        """Ids and text of each piece; the merges of all strings are done together."""
+        names, words = self.names, [p for p in pieces if isinstance(p, str)]
+        ids, ends = self.merger.encode_all(words)
+        data, texts = ids.astype("<u4").tobytes(), [names[i] for i in ids.tolist()]
+        cuts = [0, *ends.tolist()]
+        of = {w: (data[4 * a : 4 * b], " ".join(texts[a:b]).encode()) for w, a, b in zip(words, cuts, cuts[1:], strict=False)}
+        return [of[p] if isinstance(p, str) else (np.array([p], dtype="<u4").tobytes(), names[p].encode()) for p in pieces]
+
+    def encode_chunks(self, chunks: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Ids (little-endian unsigned 32-bit integers) and decoded text of chunks without white space."""
+        cuts = list(map(self.cut, b" ".join(chunks).decode().split(" "))) if chunks else []
+        known = self.pieces.fill({p for cut in cuts for p in cut}, self.made)
+        return [known[c[0]] if len(c) == 1 else joined([known[p] for p in c]) for c in cuts]
 
     def library_bytes(self, chunks: list[bytes], kind: str) -> list[bytes]:
         """Ids of each chunk as bytes of ``kind``, encoded by the library.
@@ -220,9 +243,11 @@ class Codec:
                 out[i] = data[x:y]
         return out
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """Without a decoder of its own a vocabulary's tokens are joined by one space."""
-        return " ".join(self.names[i] for i in ids)
+
+def joined(parts: Iterable[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    """Ids and text of parts in a row: without a decoder of its own a vocabulary's tokens are joined by one space."""
+    parts = list(parts)
+    return b"".join([p[0] for p in parts]), b" ".join([p[1] for p in parts if p[0]])
 
 
 _codecs: dict[tuple, Codec] = {}
@@ -260,8 +285,6 @@ def encode_decode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text
     unsigned 32-bit integers) and ``decoded``. ``tokenizer`` is the path of a ``tokenizers`` JSON file on the driver.
     No shuffle: each task encodes the documents of its own partition.
     """
-    if sys.byteorder != "little" or array("I").itemsize != 4:
-        raise RuntimeError("ids are packed as little-endian 32-bit integers")
     spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
     key = df.schema[id_column]
     schema = f"`{id_column}` {key.dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -270,19 +293,14 @@ def encode_decode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text
     def one():
         bpe, memo = codec(spec.value), Memo(MEMO)
 
-        def make(chunks: list[bytes]) -> list[tuple[bytes, bytes]]:
-            return [(array("I", ids).tobytes(), bpe.decode(ids).encode()) for ids in bpe.encode_chunks(chunks)]
-
         def batch(rows: pa.RecordBatch):
             texts = text_bytes(rows.column(1))
             counts, id_sums, text_sums, id_bytes, decoded = [], [], [], [], []
             for a, b in blocks(texts):
                 chunks = [t.split() for t in texts[a:b]]
-                get = memo.fill(set().union(*chunks), make).__getitem__
+                get = memo.fill(set().union(*chunks), bpe.encode_chunks).__getitem__
                 for words in chunks:
-                    pairs = list(map(get, words))
-                    ids = b"".join([p[0] for p in pairs])
-                    text = b" ".join([p[1] for p in pairs if p[0]])
+                    ids, text = joined(map(get, words))
                     counts.append(len(ids) // 4)
                     id_sums.append(hashlib.sha256(ids).hexdigest())
                     text_sums.append(hashlib.sha256(text).hexdigest())
