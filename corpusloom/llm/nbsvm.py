@@ -58,7 +58,7 @@ class Features:
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
-        self.memo = Memo(200_000)
+        self.memo = Memo(100_000)
         self.make = lambda words: [(digest(w.lower()), digest(shape(w), 7)) for w in words]
 
     def __call__(self, text: bytes) -> np.ndarray:

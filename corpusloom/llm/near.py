@@ -29,44 +29,58 @@ from corpusloom.llm.components import components
 BITS, WORDS = 64, 1024
 #: Members of a bucket beyond which it is split, and fingerprints that are compared together.
 TILE, TOGETHER = 16_384, 1 << 17
-#: Shingles of a set beyond which it is not broadcast.
-LIGHT = 1 << 13
+#: Shingles of a set beyond which it is not broadcast, and buckets that may be broadcast.
+LIGHT, LARGE = 1 << 13, 50_000
 
 
-def shingle_votes(text: bytes, size: int, seed: int) -> int:
-    """SimHash of a text: a bit is set if it is set in over half the shingles' XXH64."""
+def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Hashes of the hashes, for fingerprints that are independent of the first; unchanged for turn 0."""
+    if not turn:
+        return hashes
+    h = hashes + np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    for by, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ h >> np.uint64(by)) * np.uint64(times)
+    return h ^ h >> np.uint64(31)
+
+
+def votes(hashes: np.ndarray) -> int:
+    """A bit is set if it is set in over half the hashes."""
+    counts = np.zeros(BITS, dtype=np.int64)
+    for i in range(0, len(hashes), 1 << 14):
+        counts += np.unpackbits(hashes[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def simhashes(text: bytes, size: int, seed: int, several: int = 1) -> list[int]:
+    """SimHashes of a text's shingles by XXH64; those after the first vote with hashes of these hashes."""
     import xxhash
 
     words = text.lower().split()  # of bytes: A-Z only, white space 0x20 and 0x09-0x0D
     if not words:
-        return 0
+        return [0] * several
     joined = b" ".join(words)
-    if len(words) <= size:
-        return xxhash.xxh64_intdigest(joined, seed)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
     starts = np.concatenate([[0], ends[:-1]]).tolist()
-    ends = (ends - 1).tolist()
+    n = max(1, len(words) - size + 1)
+    ends = (ends - 1)[min(size, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    n = len(words) - size + 1
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[size - 1 :], strict=False)), dtype=np.uint64, count=n)
-    counts = np.zeros(BITS, dtype=np.int64)
-    for i in range(0, n, 1 << 14):
-        counts += np.unpackbits(hashes[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
+    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends, strict=False)), dtype=np.uint64, count=n)
+    return [votes(mixed(hashes, k)) for k in range(several)]
 
 
-def fingerprints(df: DataFrame, size: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text", with_hash: bool = False) -> DataFrame:
-    """``id`` and ``bits`` (long) of each row; ``with_hash`` adds ``th``, the text's ``xxhash64``."""
+def fingerprints(df: DataFrame, size: int = 3, seed: int = 42, id_column: str = "doc_id", text_column: str = "text", several: int = 0) -> DataFrame:
+    """``id`` and ``bits`` (long) of each row; with ``several``, ``bits`` is an array and ``th`` the text's ``xxhash64``."""
 
     def one():
         def batch(rows: pa.RecordBatch):
-            bits = np.array([shingle_votes(t, size, seed) for t in text_bytes(rows.column(1))], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(bits), *rows.columns[2:]], names=["id", "bits", "th"][: len(rows.columns)])
+            bits = np.array([simhashes(t, size, seed, several or 1) for t in text_bytes(rows.column(1))], dtype=np.uint64).view(np.int64)
+            column = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel()), several).cast(pa.list_(pa.int64())) if several else pa.array(bits.ravel())
+            yield pa.RecordBatch.from_arrays([rows.column(0), column, *rows.columns[2:]], names=["id", "bits", "th"][: len(rows.columns)])
 
         return batch
 
-    own = [F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("th")] if with_hash else []
-    return map_batches(df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *own), one, "id bigint, bits bigint" + ", th bigint" * with_hash)
+    own = [F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("th")] if several else []
+    return map_batches(df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), *own), one, "id bigint, bits array<bigint>, th bigint" if several else "id bigint, bits bigint")
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
@@ -212,33 +226,43 @@ def bucket_masks(radius: int, agreeing: int) -> list[int]:
 def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool = False, order: int = 0) -> DataFrame:
     """Links ``u``, ``v`` whose components are those of all pairs within ``radius``.
 
-    ``distinct`` has ``bits``, and perhaps ``node`` (named by the links; else the fingerprint) and ``label`` (only nodes
+    ``distinct`` has ``bits`` (one fingerprint, or an array of which any may be near), and perhaps ``node`` (named by the links; else the fingerprint) and ``label`` (only nodes
     of different labels are compared). ``every`` gives all links between labels; another ``order`` connects the same by
     other links. With ``agreeing`` blocks of
     ``radius + agreeing`` a key has ``64 * agreeing / (radius + agreeing)`` bits; each setting finds every pair.
     """
-    bounded_batches(distinct.sparkSession)
+    spark = distinct.sparkSession
+    bounded_batches(spark)
     masks = bucket_masks(radius, agreeing)
     node = F.col("node") if "node" in distinct.columns else F.col("bits")
     label = F.col("label") if "label" in distinct.columns else node
-    rows = distinct.select("bits", node.alias("node"), label.alias("label"))
-    rows = rows.select("*", F.posexplode(F.array(*[F.col("bits").bitwiseAND(F.lit(m)) for m in masks])).alias("tab", "key"))
-    sizes = rows.groupBy("tab", "key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(sizes, ["tab", "key"])
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    rows = rows.select("bits", "tab", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "label")
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cell = ["tab", "key", "a", "b"]
-    rows = rows.repartition(parts, *cell).sortWithinPartitions(*cell, F.xxhash64("node", F.lit(order)))
+    prints = F.col("bits") if "bits array" in distinct.select("bits").schema.simpleString().replace(":", " ") else F.array("bits")
+    key = F.col("bits").bitwiseAND(F.element_at(F.lit(masks), F.pmod("tab", F.lit(len(masks))) + 1))
+    rows = distinct.select(F.posexplode(prints).alias("turn", "bits"), node.alias("node"), label.alias("label"))
+    rows = rows.select("bits", "node", "label", F.explode(F.sequence(F.col("turn") * len(masks), F.col("turn") * len(masks) + (len(masks) - 1))).alias("tab"))
+    # a bucket of more than a tile is split; there are few of them, and their rows are found without a shuffle of all rows
+    large = rows.groupBy("tab", key.alias("key")).agg(F.count("*").alias("n")).where(F.col("n") > TILE).select(F.col("tab").alias("t"), "key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    large = written(large, "large")
+    many = large.limit(LARGE + 1).count()
+    if many:
+        on = (F.col("tab") == F.col("t")) & (key == F.col("key"))
+        rows = rows.join(F.broadcast(large) if many <= LARGE else large, on, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        rows = rows.select("bits", "tab", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "label")
+    else:
+        rows = rows.select("bits", "tab", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("own"), "node", "label")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "tab", key, "a", "b").sortWithinPartitions("tab", key, "a", "b", F.xxhash64("node", F.lit(order)))
+    masks_of = np.array(masks, dtype=np.int64)
 
     def compare(batches):
         held: list[np.ndarray] = []
 
         def flush(table: np.ndarray):
-            change = (table[1:, 1:5] != table[:-1, 1:5]).any(axis=1)
-            bucket = np.r_[0, np.cumsum(change)]
+            change = np.r_[True, (table[1:, 1:5] != table[:-1, 1:5]).any(axis=1)]
+            bucket = np.cumsum(change)
+            several = np.bincount(bucket)[bucket] > 1
+            table, bucket = table[several], bucket[several]
             across = table[:, 3] != table[:, 4]
             for some in (~across, across):
                 if some.any():
@@ -248,7 +272,8 @@ def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool =
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(part[i, 6], part[j, 6])), pa.array(np.maximum(part[i, 6], part[j, 6]))], names=["u", "v"])
 
         for rows_in in batches:
-            table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in rows_in.columns], axis=1)
+            bits, tab, *rest = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in rows_in.columns)
+            table = np.stack([bits, tab, bits & masks_of[tab % len(masks_of)], *rest], axis=1)
             if not len(table):
                 continue
             held.append(table)
@@ -318,19 +343,20 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where((whole == 0) | (common >= least * whole)).select("u", "v")
 
 
-def similar(df: DataFrame, least: float = 0.8, shingle: int = 5, size: int = 3, radius: int = 11, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def similar(df: DataFrame, least: float = 0.8, shingle: int = 5, size: int = 2, radius: int = 7, several: int = 2, seed: int = 42, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``node`` (a text's ``xxhash64``) and ``root`` of each distinct text: connected by pairs of texts that are alike.
 
     Two texts are alike if their sets of ``shingle``-word shingles have a Jaccard similarity of ``least``. Candidates are
-    pairs of SimHash fingerprints (of ``size``-word shingles) within ``radius``, found by the bit-sliced comparison; each
-    is confirmed by the sets. A round confirms as few candidates as connect everything; those that fail leave groups
-    apart, so rounds are repeated between groups as long as they join any, and at last every candidate between groups
-    is tried. Only groups with a candidate outside go on to the next round.
+    pairs with one of ``several`` independent SimHash fingerprints (of ``size``-word shingles) within ``radius``, found by
+    the bit-sliced comparison; each is confirmed by the sets. A round confirms as few candidates as connect everything.
+    Those that fail leave groups apart; then every candidate between such groups is tried, after further rounds of the
+    first kind if the groups are so large that this would be many times the nodes. Each round sees only groups that had
+    a failed candidate.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = written(fingerprints(df, size, seed, id_column, text_column, with_hash=True), "simhash")
-    nodes = written(rows.groupBy(F.col("th").alias("node")).agg(F.min("bits").alias("bits")).withColumn("label", F.col("node")), "nodes")
-    every = nodes.select("node").withColumn("root", F.col("node"))
+    rows = fingerprints(df, size, seed, id_column, text_column, several=several)
+    nodes = written(rows.groupBy(F.col("th").alias("node")).agg(F.first("bits").alias("bits")).withColumn("label", F.col("node")), "nodes")
+    every, n = nodes.select("node", F.col("node").alias("root")), nodes.count()
     tried, sets, exhaustive, turn = None, None, False, 0
     while True:
         emitted = written(links(nodes, radius, every=exhaustive, order=turn).distinct(), "candidates")
@@ -343,17 +369,19 @@ def similar(df: DataFrame, least: float = 0.8, shingle: int = 5, size: int = 3,
             good = written(confirmed(pairs, sets, least), "links")
             more = bool(good.head(1))
             if more:  # a label is a node
-                ends = renamed(good, nodes.select("node", "label"))
-                roots = written(components(ends), "roots")
+                roots = written(components(renamed(good, nodes.select("node", "label"))), "roots")
                 every = written(every.join(roots.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root")), "groups")
         if exhaustive:
             return every
-        exhaustive, turn = not more, turn + 1
-        live = renamed(emitted, every).where("u <> v").select(F.explode(F.array("u", "v")).alias("label")).distinct()
+        apart = written(renamed(emitted, every).where("u <> v").distinct(), "apart")
+        live = apart.select(F.explode(F.array("u", "v")).alias("label")).distinct()
         labelled = nodes.drop("label").join(every.withColumnRenamed("root", "label"), "node")
         nodes = written(labelled.join(live, "label", "left_semi"), "nodes")
         if not nodes.head(1):
             return every
+        sizes = nodes.groupBy("label").agg(F.count("*").alias("n"))
+        work = renamed(apart, sizes).agg(F.sum(F.col("u") * F.col("v"))).first()[0]
+        exhaustive, turn = not more or work <= 4 * n, turn + 1
 
 
 def representatives(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
