@@ -50,7 +50,7 @@ PAIRS = Inline(
     "id int, ru string, en string",
     (
         (1, "Ну ты и даёшь, приятель!", "Wow, you are unbelievable, man!"), (2, "", "x"), (3, "Only latin words here", "Only latin words here"), (4, "Это просто хорошо сказано", "Это не английский"), (5, "Перевод: Иван Иванов и друзья", "Translated by John Smith"), (6, "Да ну", "Oh no"),
-        (7, "Ќа каком основании вы здесь?", "On what grounds are you here?"), (8, "О, ох, ах, ай", "Oh, ah, ooh, hey"), (9, "Он ушёл вчера вечером домой один", "He left home alone yesterday evening and then he never came back to see us again, my friend"), (10, "Кафе закрыто 22 июня, простите", "The café is closed on June 22, sorry"), (11, "Мне нужен iPhone прямо сейчас", "I need an iPhone right now"),
+        (7, "Ѓде моя старая шапка, скажи?", "Where is my old hat, tell me?"), (8, "О, ох, ах, ай", "Oh, ah, ooh, hey"), (9, "Он ушёл вчера вечером домой один", "He left home alone yesterday evening and then he never came back to see us again, my friend"), (10, "Рынок открыт 7 марта, заходите", "The señor opens his market on March 7, come in"), (11, "Мне нужен iPhone прямо сейчас", "I need an iPhone right now"),
         (12, None, "null side of it"),
     ),
 )

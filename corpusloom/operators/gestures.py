@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,15 +44,19 @@ def best_words(words: DataFrame, gesture: Column, count: int, n: int, shape_dev:
 
 
 def thinned(points: DataFrame, owner: str, order: str, least: float) -> DataFrame:
-    """Points that lie at least ``least`` from the last kept one: an ordered fold per owner."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        kept, last = [], None
-        for i, (x, y) in enumerate(zip(rows["x"], rows["y"], strict=True)):
-            if last is None or (x - last[0]) ** 2 + (y - last[1]) ** 2 >= least**2:
-                kept.append(i)
-                last = x, y
-        return rows.iloc[kept]
-
-    return points.groupBy(owner).applyInPandas(fold, points.schema)
+    """Points that lie at least ``least`` from the last kept one: an ordered fold that holds one point at a time."""
+    at = [points.columns.index(c) for c in (owner, "x", "y")]
+
+    def fold(batches):
+        now, last = None, None
+        for rows in batches:
+            keep = []
+            for key, x, y in zip(*(rows.column(i).to_pylist() for i in at), strict=True):
+                if last is None or key != now or (x - last[0]) ** 2 + (y - last[1]) ** 2 >= least**2:
+                    now, last = key, (x, y)
+                    keep.append(True)
+                else:
+                    keep.append(False)
+            yield rows.filter(pa.array(keep, pa.bool_()))
+
+    return points.repartition(owner).sortWithinPartitions(owner, order).mapInArrow(fold, points.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,21 +22,31 @@ def gap_islands(df: DataFrame, keys: list[str], start: str, end: str, gap: float
 def bounded_segments(df: DataFrame, key: str, max_gap: float = 0.6, longest: float = 15.0, shortest: float = 1.0) -> DataFrame:
     """Consecutive cues of a key joined while the gap and the joined length allow; short segments go.
 
-    Whether a cue joins depends on where its segment began, so each key is folded in order.
+    Whether a cue joins depends on where its segment began, so each key is folded in order, one segment at a time.
     """
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for s, e, t in rows.sort_values(["start", "end"], kind="stable")[["start", "end", "text"]].itertuples(index=False):
-            if out and s - out[-1][1] <= max_gap and e - out[-1][0] <= longest:
-                out[-1][1:] = [e, f"{out[-1][2]} {t}"]
-            else:
-                out.append([s, e, t])
-        kept = [x for x in out if x[1] - x[0] >= shortest]
-        return pd.DataFrame({key: [rows[key].iloc[0]] * len(kept), "start": [x[0] for x in kept], "end": [x[1] for x in kept], "text": [x[2] for x in kept]})
-
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "start", "end", "text").groupBy(key).applyInPandas(fold, f"`{key}` {kind}, start double, end double, text string")
+
+    def fold(batches):
+        now, segment = None, None
+        for rows in batches:
+            done = []
+            for k, s, e, t in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                if segment is not None and k == now and s - segment[1] <= max_gap and e - segment[0] <= longest:
+                    segment[1:] = [e, f"{segment[2]} {t}"]
+                    continue
+                if segment is not None and segment[1] - segment[0] >= shortest:
+                    done.append((now, *segment))
+                now, segment = k, [s, e, t]
+            yield made(done, rows.schema)
+        if segment is not None and segment[1] - segment[0] >= shortest:
+            yield made([(now, *segment)], rows.schema)
+
+    def made(done, schema):
+        columns = zip(*done, strict=True) if done else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], names=[key, "start", "end", "text"])
+
+    rows = df.select(key, F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), "text").repartition(key).sortWithinPartitions(key, "start", "end")
+    return rows.mapInArrow(fold, f"`{key}` {kind}, start double, end double, text string")
 
 
 def overlaps(df: DataFrame, keys: list[str], speaker: str, start: str, end: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,15 +63,29 @@ def used(pinned: list, recent: list, item, pinned_rule: str, recent_rule: str, m
 
 
 def use_histories(df: DataFrame, owner: str, order: str, item: str, recent_rule: str = "auto_front", most: int = 10) -> DataFrame:
-    """The recent list of each owner after all uses in order, under any rule: an ordered fold per owner."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        recent: list = []
-        for x in rows.sort_values([order, item], kind="stable")[item]:
-            _, recent = used([], recent, x, "auto_front", recent_rule, 0, most)
-        return pd.DataFrame({owner: [rows[owner].iloc[0]], "recent": [recent]})
-
-    return df.select(owner, order, item).groupBy(owner).applyInPandas(fold, f"{owner} {df.schema[owner].dataType.simpleString()}, recent array<string>")
+    """The recent list of each owner after all uses in order, under any rule: an ordered fold that holds one list at a time."""
+    kind = df.schema[owner].dataType
+
+    def fold(batches):
+        now, recent, done = None, None, []
+        for rows in batches:
+            for key, x in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), strict=True):
+                if recent is None or key != now:
+                    if recent is not None:
+                        done.append((now, recent))
+                    now, recent = key, []
+                _, recent = used([], recent, x, "auto_front", recent_rule, 0, most)
+            if done:
+                yield made(done, rows.schema)
+                done = []
+        if recent is not None:
+            yield made([(now, recent)], rows.schema)
+
+    def made(done, schema):
+        return pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], schema.field(0).type), pa.array([d[1] for d in done], pa.list_(schema.field(2).type))], names=[owner, "recent"])
+
+    rows = df.select(owner, order, F.col(item).cast("string").alias(item)).repartition(owner).sortWithinPartitions(owner, order, item)
+    return rows.mapInArrow(fold, f"`{owner}` {kind.simpleString()}, recent array<string>")
 
 
 def run_health(runs: DataFrame, model: str, order: str, tripped: str, disable_after: int = 2) -> DataFrame:

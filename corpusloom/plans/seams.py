@@ -107,6 +107,41 @@ def resumed(seeds: DataFrame, models: DataFrame, before: DataFrame, call: Call,
     return settled.unionByName(answered(pairs, call, streak))
 
 
+def until_quota(cells: DataFrame, ask: Callable[[str, int], list[str]], reason: Callable[[str, str], str | None], most_calls: int) -> DataFrame:
+    """Lines that a model gives for each ``cell`` (with its ``quota``): ``cell``, ``call``, ``line``, ``reason`` (null if accepted).
+
+    A cell is asked again (``ask(cell, call)``) until its quota of accepted lines is met or ``most_calls`` are made. A line
+    is rejected by ``reason(cell, line)``, or as a repeat within its cell; lines after the quota are not looked at. A call
+    that fails counts as one without lines. Cells are independent, so each is one row for a task.
+    """
+
+    def run(batches):
+        for rows in batches:
+            out = []
+            for cell, quota in zip(rows["cell"], rows["quota"], strict=True):
+                seen: set[str] = set()
+                n = 0
+                for call in range(most_calls):
+                    if n >= quota:
+                        break
+                    try:
+                        lines = ask(cell, call)
+                    except Exception as e:  # the outcome is data
+                        out.append((cell, call, None, f"failed: {e}"))
+                        continue
+                    for line in lines:
+                        if n >= quota:
+                            break
+                        why = "repeat" if line in seen else reason(cell, line)
+                        if why is None:
+                            seen.add(line)
+                            n += 1
+                        out.append((cell, call, line, why))
+            yield pd.DataFrame(out, columns=["cell", "call", "line", "reason"])
+
+    return cells.select(F.col("cell").cast("string").alias("cell"), F.col("quota").cast("int").alias("quota")).mapInPandas(run, "cell string, call int, line string, reason string")
+
+
 def annotated(seeds: DataFrame, worth: Call, annotators: list[str], annotate: Call, adjudicate: Call) -> dict[str, DataFrame]:
     """Three routes of sentences (``seed``): ``skipped`` with a reason, ``candidates`` of all annotators, ``adjudicated``.
 

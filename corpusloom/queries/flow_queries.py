@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom import fixtures as X
+from corpusloom.functions import language as G
 from corpusloom.functions import lexicons as L
 from corpusloom.functions import text as T
 from corpusloom.operators import joins, reports, selection, state
@@ -280,6 +281,42 @@ def annotation_routes(spark, sf):
     return rows.groupBy("route").agg(F.count("*").alias("n"), F.array_join(listed, ";").alias("rows"))
 
 
+def ask(cell: str, call: int) -> list[str]:
+    """Three lines a call; every fourth call of a cell with an even number fails."""
+    n = int(cell)
+    if n % 2 == 0 and call % 4 == 3:
+        raise ValueError("busy")
+    return [f"line {(n + call * 2 + k) % 7} of {cell}" for k in range(3)]
+
+
+@query("""WITH RECURSIVE c AS (SELECT n_nationkey::VARCHAR AS cell, 3 + n_nationkey % 3 AS quota, n_nationkey AS n FROM nation),
+l AS (SELECT cell, quota, call, k, 3 * call + k AS at, (n + call * 2 + k) % 7 AS x, n % 2 = 0 AND call % 4 = 3 AS fails FROM c, range(5) a(call), range(3) b(k)),
+s AS (SELECT cell, quota, -1 AS at, []::INT[] AS kept, NULL::INT AS call, NULL::VARCHAR AS line, NULL::VARCHAR AS reason, false AS said FROM c
+  UNION ALL SELECT l.cell, l.quota, l.at, CASE WHEN NOT l.fails AND len(s.kept) < l.quota AND NOT list_contains(s.kept, l.x::INT) AND l.x <> 3 THEN list_append(s.kept, l.x::INT) ELSE s.kept END, l.call::INT,
+    CASE WHEN NOT l.fails THEN 'line ' || l.x || ' of ' || l.cell END, CASE WHEN l.fails THEN 'failed: busy' WHEN list_contains(s.kept, l.x::INT) THEN 'repeat' WHEN l.x = 3 THEN 'three' END, len(s.kept) < l.quota AND (NOT l.fails OR l.k = 0)
+  FROM s JOIN l ON l.cell = s.cell AND l.at = s.at + 1)
+SELECT cell, call, line, reason FROM s WHERE said""")
+def quota_loop(spark, sf):
+    """Cells of a grid are asked for lines until their quota is met, five calls at most."""
+    cells = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("cell"), (F.col("n_nationkey") % 3 + 3).alias("quota"))
+    return seams.until_quota(cells, ask, lambda cell, line: "three" if line.startswith("line 3 ") else None, 5)
+
+
+@query("SELECT line, CASE WHEN line = 1 THEN 'key|name' ELSE cells END AS cells FROM (SELECT 1 + row_number() OVER (ORDER BY n_nationkey) AS line, n_nationkey || '|<' || n_name || '> & co' AS cells FROM nation UNION ALL SELECT 1, NULL)")
+def review_sheet_file(spark, sf):
+    path = f"{shared_path(spark, 'sheet')}.xlsx"
+    writers.spreadsheet(table(spark, sf, "nation").select(F.col("n_nationkey").alias("key"), F.format_string("<%s> & co", "n_name").alias("name")), path, "key")
+    return readers.spreadsheets(spark, path).select("line", F.array_join("cells", "|").alias("cells"))
+
+
+@query(f"""SELECT id, CASE WHEN f AND v THEN 'both' WHEN f THEN 'ty' WHEN v THEN 'vy' END AS address, array_to_string(list_filter({lst([p.replace("ё", "е") for p in X.IDIOMS])}, lambda p: contains(replace(lower(text), 'ё', 'е'), p)), ',') AS idioms FROM (SELECT *,
+  list_has_any(regexp_extract_all(lower(text), '[а-яё]+'), {L.FAMILIAR}) AS f, list_has_any(regexp_extract_all(lower(text), '[а-яё]+'), {L.FORMAL}) AS v FROM {X.LINES.sql()}) WHERE text IS NOT NULL""")
+def detection_evidence(spark, sf):
+    """What the detection goes by, as one struct for each sentence."""
+    rows = X.LINES.frame(spark).where("text is not null").select("id", F.struct(G.address(F.col("text")).alias("address"), G.phrases(F.col("text"), X.IDIOMS).alias("idioms")).alias("evidence"))
+    return rows.select("id", "evidence.address", F.array_join("evidence.idioms", ",").alias("idioms"))
+
+
 @query(f"SELECT 'clean' AS output, count(*) FILTER (len(problems) = 0) AS n FROM {CHECKS} UNION ALL SELECT 'rejects', count(*) FILTER (len(problems) > 0) FROM {CHECKS} UNION ALL SELECT 'next seeds', count(DISTINCT source_text) FILTER (len(problems) > 0 AND source_text <> '') FROM {CHECKS} UNION ALL SELECT 'reason ' || p, count(*) FROM (SELECT unnest(problems) AS p FROM {CHECKS}) GROUP BY p")
 def batch_run(spark, sf):
     """A whole batch: candidates from a JSON lines file, checks, three outputs, and counts of them and of the reasons."""

@@ -33,6 +33,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores dealt out to all of them; others are left as they are.
+
+    A Parquet file of one row group is one task, however many cores wait. Large tables have many files: no shuffle there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def file_system(spark: SparkSession, path: str):
     """The path as Spark's file systems know it, and its file system."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

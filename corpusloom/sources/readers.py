@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -103,6 +104,26 @@ def aligned_zip(spark: SparkSession, path: str, most: int | None = None) -> Data
     return lines.select("line", "ru", "en", T.film_key(F.col("ids")).alias("film"))
 
 
+def spreadsheets(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``line`` (the header is 1) and ``cells`` (texts) of the first sheet of each workbook with inline or shared texts."""
+
+    def read(batches):
+        space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+        for batch in batches:
+            out = []
+            for name, content in zip(batch["file"], batch["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    texts = lambda node: "".join(t.text or "" for t in node.iter(f"{space}t"))
+                    shared = [texts(s) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
+                    for no, row in enumerate(ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml")).iter(f"{space}row"), 1):
+                        value = lambda c: texts(c) if c.get("t") == "inlineStr" else c.findtext(f"{space}v", "")  # noqa: B023, E731
+                        out.append((name, no, [shared[int(value(c))] if c.get("t") == "s" else value(c) for c in row]))
+            yield pd.DataFrame(out, columns=["file", "line", "cells"])
+
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("file"), "content")
+    return files.mapInPandas(read, "file string, line long, cells array<string>")
+
+
 TIME = r"(\d+:\d{2}:\d{2}[,.]\d{1,3})\s*-->\s*(\d+:\d{2}:\d{2}[,.]\d{1,3})"
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from xml.sax.saxutils import escape
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.shared import file_system
+from corpusloom.shared import file_system, put
 
 
 def json_lines(df: DataFrame, path: str) -> None:
@@ -65,6 +68,30 @@ def single_file(df: DataFrame, path: str, kind: str = "json") -> None:
     files.delete(aside, True)
 
 
+#: The parts of a workbook with one sheet, as the file format names them.
+WORKBOOK = {
+    "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
+    "_rels/.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="sheet" sheetId="1" r:id="r1"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+}
+SHEET = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{}</sheetData></worksheet>'
+
+
+def spreadsheet(df: DataFrame, path: str, *order: Column | str, most: int = 10_000) -> None:
+    """A review sheet for people: one workbook of at most ``most`` rows (more are an error), with a header; all cells are text."""
+    rows = df.orderBy(*order).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a review sheet has at most {most} rows")
+    cell = lambda v: f'<c t="inlineStr"><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>'
+    lines = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in [df.columns, *rows])
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, part in [*WORKBOOK.items(), ("xl/worksheets/sheet1.xml", SHEET.format(lines))]:
+            z.writestr(name, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' + part)
+    put(df.sparkSession, path, packed.getvalue())
+
+
 def file_manifest(spark: SparkSession, path: str, tier: Column, version: str) -> DataFrame:
     """Tier, name, version, size and SHA-256 of each file; two files of a tier are an error.
 

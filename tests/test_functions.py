@@ -23,8 +23,8 @@ def lit(x):
 @pytest.mark.parametrize(
     ("ru", "en", "reason"),
     [
-        ("Ќа каком основании вы тут?", "On what grounds are you here?", "mojibake"),
-        ("ƒа, да, именно так.", "Yes, yes, exactly so.", "mojibake"),
+        ("Ѓде моя старая шапка, скажи?", "Where is my old hat, tell me?", "mojibake"),
+        ("ƒорогая, иди скорее домой", "Dear, come home at once", "mojibake"),
         ("О, о-о-о.", "Oh, oh, oh.", "interjection"),
         ("Хе-хе-хе.", "Heh heh heh.", "interjection"),
         ("Перевод: Анна Иванова", "Translated by Anna", "credits"),
@@ -33,7 +33,7 @@ def lit(x):
         ("hello there my friend", "hello there my friend", "ru_script"),
         ("Привет, мой старый друг", "Привет, мой старый друг", "en_script"),
         ("", "x", "empty"),
-        ("Кафе открыто 22 июня, приходи", "The café opens June 22, come by", None),
+        ("Рынок открыт 7 марта, заходите", "The señor opens his market on March 7, come in", None),
         ("Ну ты и даёшь, приятель", "You are something, my friend", None),
     ],
 )
