@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from corpusloom.llm.common import bounded_batches, joined, map_batches, text_bytes, written
 from corpusloom.llm.components import components
@@ -29,8 +30,8 @@ from corpusloom.llm.components import components
 BITS, WORDS = 64, 1024
 #: Members of a bucket beyond which it is split, and fingerprints that are compared together.
 TILE, TOGETHER = 16_384, 1 << 17
-#: Shingles of a set beyond which it is not broadcast, and buckets that may be broadcast.
-LIGHT, LARGE = 1 << 13, 50_000
+#: Shingles of a set beyond which it is not broadcast, shingles of the sets of a cell, and buckets that may be broadcast.
+LIGHT, SHINGLES, LARGE = 1 << 13, 1 << 18, 50_000
 
 
 def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
@@ -170,12 +171,12 @@ def joined_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = label[label]
 
 
-def linked(values: np.ndarray, bucket: np.ndarray, radius: int, side: np.ndarray | None = None, group: np.ndarray | None = None, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def linked(values: np.ndarray, bucket: np.ndarray, radius: int, side: np.ndarray | None = None, group: np.ndarray | None = None, check: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links (positions, all within ``radius``) that connect what the links within the buckets of ``values`` connect.
 
     ``bucket`` ascends. With ``side``, only lanes of different sides of a bucket are compared (two tiles); with
-    ``group``, only lanes of different groups. Lanes that are connected already are not compared again, unless
-    ``every`` link between groups is wanted.
+    ``group``, only lanes of different groups; with ``check``, only links that it accepts (positions to flags) count.
+    Lanes that are connected already are not compared again.
     """
     n = len(values)
     label = np.arange(n)
@@ -200,9 +201,12 @@ def linked(values: np.ndarray, bucket: np.ndarray, radius: int, side: np.ndarray
             if side is not None:
                 flags[:-shift] &= side[at[shift:]] != side[at[:-shift]]
             hits = lane_numbers(within(planes, lambda b, s=shift, p=planes: shifted(p[b], s), packed_lanes(flags, words), radius), len(at))
-            found.append((at[hits], at[hits + shift]))
-            if not every:
-                joined_labels(label, *found[-1])
+            i, j = at[hits], at[hits + shift]
+            if check is not None and len(i):
+                good = check(i, j)
+                i, j = i[good], j[good]
+            found.append((i, j))
+            joined_labels(label, i, j)
             shift += 1
         starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         sizes = np.diff(np.r_[starts, len(at)])
@@ -223,12 +227,11 @@ def bucket_masks(radius: int, agreeing: int) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in found]
 
 
-def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool = False, order: int = 0) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2) -> DataFrame:
     """Links ``u``, ``v`` whose components are those of all pairs within ``radius``.
 
     ``distinct`` has ``bits`` (one fingerprint, or an array of which any may be near), and perhaps ``node`` (named by the links; else the fingerprint) and ``label`` (only nodes
-    of different labels are compared). ``every`` gives all links between labels; another ``order`` connects the same by
-    other links. With ``agreeing`` blocks of
+    of different labels are compared). With ``agreeing`` blocks of
     ``radius + agreeing`` a key has ``64 * agreeing / (radius + agreeing)`` bits; each setting finds every pair.
     """
     spark = distinct.sparkSession
@@ -236,7 +239,7 @@ def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool =
     masks = bucket_masks(radius, agreeing)
     node = F.col("node") if "node" in distinct.columns else F.col("bits")
     label = F.col("label") if "label" in distinct.columns else node
-    prints = F.col("bits") if "bits array" in distinct.select("bits").schema.simpleString().replace(":", " ") else F.array("bits")
+    prints = F.col("bits") if isinstance(distinct.schema["bits"].dataType, ArrayType) else F.array("bits")
     key = F.col("bits").bitwiseAND(F.element_at(F.lit(masks), F.pmod("tab", F.lit(len(masks))) + 1))
     rows = distinct.select(F.posexplode(prints).alias("turn", "bits"), node.alias("node"), label.alias("label"))
     rows = rows.select("bits", "node", "label", F.explode(F.sequence(F.col("turn") * len(masks), F.col("turn") * len(masks) + (len(masks) - 1))).alias("tab"))
@@ -252,7 +255,7 @@ def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool =
     else:
         rows = rows.select("bits", "tab", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("own"), "node", "label")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, "tab", key, "a", "b").sortWithinPartitions("tab", key, "a", "b", F.xxhash64("node", F.lit(order)))
+    rows = rows.repartition(parts, "tab", key, "a", "b").sortWithinPartitions("tab", key, "a", "b")
     masks_of = np.array(masks, dtype=np.int64)
 
     def compare(batches):
@@ -268,7 +271,7 @@ def links(distinct: DataFrame, radius: int = 3, agreeing: int = 2, every: bool =
                 if some.any():
                     part = table[some]
                     values = np.ascontiguousarray(part[:, 0]).view(np.uint64)
-                    i, j = linked(values, bucket[some], radius, part[:, 5] if some is across else None, part[:, 7], every)
+                    i, j = linked(values, bucket[some], radius, part[:, 5] if some is across else None, part[:, 7])
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(part[i, 6], part[j, 6])), pa.array(np.maximum(part[i, 6], part[j, 6]))], names=["u", "v"])
 
         for rows_in in batches:
@@ -348,40 +351,96 @@ def similar(df: DataFrame, least: float = 0.8, shingle: int = 5, size: int = 2,
 
     Two texts are alike if their sets of ``shingle``-word shingles have a Jaccard similarity of ``least``. Candidates are
     pairs with one of ``several`` independent SimHash fingerprints (of ``size``-word shingles) within ``radius``, found by
-    the bit-sliced comparison; each is confirmed by the sets. A round confirms as few candidates as connect everything.
-    Those that fail leave groups apart; then every candidate between such groups is tried, after further rounds of the
-    first kind if the groups are so large that this would be many times the nodes. Each round sees only groups that had
-    a failed candidate.
+    the bit-sliced comparison; each is confirmed by the sets. The first round confirms as few candidates as connect
+    everything; those that fail leave groups apart. The second round (``linked_by_sets``) tries every candidate between
+    such groups, within what candidates connect.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = fingerprints(df, size, seed, id_column, text_column, several=several)
-    nodes = written(rows.groupBy(F.col("th").alias("node")).agg(F.first("bits").alias("bits")).withColumn("label", F.col("node")), "nodes")
-    every, n = nodes.select("node", F.col("node").alias("root")), nodes.count()
-    tried, sets, exhaustive, turn = None, None, False, 0
-    while True:
-        emitted = written(links(nodes, radius, every=exhaustive, order=turn).distinct(), "candidates")
-        pairs = emitted if tried is None else written(emitted.join(tried, ["u", "v"], "left_anti"), "pairs")
-        more = False
-        if pairs.head(1):
-            if sets is None:  # of all nodes that have a candidate: later rounds see no others
-                sets = written(shingle_sets(df, emitted, shingle, text), "sets")
-            tried = pairs if tried is None else written(tried.union(pairs), "tried")
-            good = written(confirmed(pairs, sets, least), "links")
-            more = bool(good.head(1))
-            if more:  # a label is a node
-                roots = written(components(renamed(good, nodes.select("node", "label"))), "roots")
-                every = written(every.join(roots.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root")), "groups")
-        if exhaustive:
-            return every
-        apart = written(renamed(emitted, every).where("u <> v").distinct(), "apart")
-        live = apart.select(F.explode(F.array("u", "v")).alias("label")).distinct()
-        labelled = nodes.drop("label").join(every.withColumnRenamed("root", "label"), "node")
-        nodes = written(labelled.join(live, "label", "left_semi"), "nodes")
-        if not nodes.head(1):
-            return every
-        sizes = nodes.groupBy("label").agg(F.count("*").alias("n"))
-        work = renamed(apart, sizes).agg(F.sum(F.col("u") * F.col("v"))).first()[0]
-        exhaustive, turn = not more or work <= 4 * n, turn + 1
+    nodes = written(rows.groupBy(F.col("th").alias("node")).agg(F.first("bits").alias("bits")), "nodes")
+    tried = written(links(nodes, radius).distinct(), "candidates")
+    groups = nodes.select("node", F.col("node").alias("root"))
+    if not tried.head(1):
+        return groups
+    sets = written(shingle_sets(df, tried, shingle, text), "sets")  # of all nodes that have a candidate
+    groups = regrouped(groups, confirmed(tried, sets, least))
+    reach = written(components(tried).join(groups.withColumnRenamed("root", "label"), "node").withColumnRenamed("root", "reach"), "reach")
+    return regrouped(groups, linked_by_sets(nodes.join(reach, "node").join(sets, "node"), radius, least))
+
+
+def regrouped(groups: DataFrame, links_: DataFrame) -> DataFrame:
+    """``groups`` (``node``, ``root``) with the groups joined that the links connect."""
+    good = written(links_, "links")
+    if not good.head(1):
+        return groups
+    roots = components(renamed(good, groups))
+    return written(groups.join(roots.toDF("root", "new"), "root", "left").select("node", F.coalesce("new", "root").alias("root")), "groups")
+
+
+def linked_by_sets(nodes: DataFrame, radius: int, least: float) -> DataFrame:
+    """Links ``u``, ``v`` that connect all nodes of different ``label`` whose fingerprints are near and whose sets are alike.
+
+    ``nodes``: ``node``, ``bits`` (array), ``label``, ``reach`` (only nodes of the same one can be near) and ``s``. The nodes
+    of a ``reach`` with several labels meet in a cell, with their sets. A reach with more than ``SHINGLES`` elements in
+    its sets is dealt to tiles, and each pair of tiles is a cell. Nothing but links that join labels leaves a cell.
+    """
+    spark = nodes.sparkSession
+    bounded_batches(spark)
+    nodes = written(nodes.select("node", "bits", "label", "reach", "s"), "reached")
+    total = F.sum(F.size("s").cast("bigint") + 1)
+    open_ = nodes.groupBy("reach").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(total / SHINGLES).cast("int").alias("tiles"))
+    open_ = written(open_.where("low <> high").select("reach", "n", "tiles"), "open")
+    rows = joined(nodes, open_, ["reach"], "n", nodes.count()).withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select("reach", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "label", "bits", "s")
+    cell = ["reach", "a", "b"]
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *cell).sortWithinPartitions(*cell)
+
+    def compare(batches):
+        held: list[tuple] = []
+        size = 0
+
+        def flush(rows: list[tuple]):
+            reach, a, b, own, node, label = (np.array(c, dtype=np.int64) for c in list(zip(*rows, strict=True))[:6])
+            prints = np.array([r[6] for r in rows], dtype=np.int64).view(np.uint64)
+            sets = [np.array(r[7], dtype=np.int64) for r in rows]
+            sizes = np.array(list(map(len, sets)))
+            bucket = np.cumsum(np.r_[True, (reach[1:] != reach[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            across = a != b
+            for some in (np.flatnonzero(~across), np.flatnonzero(across)):
+                if not len(some):
+                    continue
+                for turn in range(prints.shape[1]):
+
+                    def alike(i, j, some=some, turn=turn):
+                        p, q = some[i], some[j]
+                        common = np.minimum(sizes[p], sizes[q])
+                        good = common >= least * np.maximum(sizes[p], sizes[q])
+                        for before in range(turn):
+                            good &= np.bitwise_count(prints[p, before] ^ prints[q, before]) > radius
+                        for k in np.flatnonzero(good).tolist():
+                            common = len(np.intersect1d(sets[p[k]], sets[q[k]], assume_unique=True))
+                            good[k] = common >= least * (sizes[p[k]] + sizes[q[k]] - common)
+                        return good
+
+                    i, j = linked(np.ascontiguousarray(prints[some, turn]), bucket[some], radius, own[some] if across[some[0]] else None, label[some], alike)
+                    u, v = node[some[i]], node[some[j]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+        now = None
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != now:
+                    if size >= SHINGLES:
+                        yield from flush(held)
+                        held, size = [], 0
+                    now = row[:3]
+                held.append(row)
+                size += len(row[7]) + 1
+        if held:
+            yield from flush(held)
+
+    return rows.mapInArrow(compare, "u bigint, v bigint")
 
 
 def representatives(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:

@@ -70,12 +70,13 @@ def test_links_between_groups_only():
     values, bucket = np.array(v, np.uint64), np.zeros(len(v), int)
     group = np.array([rng.randrange(4) * 10 for _ in v])
     near_pairs = {(b, a) for a in range(len(v)) for b in range(a) if group[a] != group[b] and (v[a] ^ v[b]).bit_count() <= 3}
-    i, j = near.linked(values, bucket, 3, None, group, every=True)
-    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} == near_pairs
     i, j = near.linked(values, bucket, 3, None, group)
-    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} <= near_pairs
     of = lambda edges: slow_groups(4, [(group[a] // 10, group[b] // 10) for a, b in edges])
+    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)} <= near_pairs
     assert of(zip(i, j, strict=True)) == of(near_pairs)
+    even = {(a, b) for a, b in near_pairs if (a + b) % 2 == 0}
+    i, j = near.linked(values, bucket, 3, None, group, lambda i, j: (i + j) % 2 == 0)
+    assert of(zip(i, j, strict=True)) == of(even) and (i + j).sum() % 2 == 0
 
 
 def slow_groups(n, edges):
@@ -117,8 +118,10 @@ def edited(rng, text, share):
     return " ".join(words)
 
 
-def test_groups_of_similar_texts_against_all_pairs(spark):
-    """Recall of linked pairs is at least 0.9, and no two texts are joined that links do not connect."""
+@pytest.mark.parametrize("shingles", [near.SHINGLES, 3000])
+def test_groups_of_similar_texts_against_all_pairs(spark, monkeypatch, shingles):
+    """Recall of linked pairs is at least 0.9, and no two texts are joined that links do not connect; with small cells, groups lie in several tiles."""
+    monkeypatch.setattr(near, "SHINGLES", shingles)
     rng = random.Random(11)
     texts = odd_texts() + [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").orderBy("doc_id").collect()]
     bases = [t for t in texts if t and 60 < len(t.split(" ")) < 400][:60]
