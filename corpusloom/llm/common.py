@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.shared import dropped, shared_path, shared_root, written  # noqa: F401
+from corpusloom.shared import dropped, shared_path, shared_root, spread, written  # noqa: F401
 
 #: White space of the word contracts, as a Java character class.
 WORD_SPACE = r"[ \t-\r]+"
@@ -71,4 +71,5 @@ def let(value, body):
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df) if table == "documents" else df

@@ -38,9 +38,11 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         if state == before or not state[0]:
             break
-        made = written(_small_star(written(_large_star(now), "edges")), "edges")
+        large = written(_large_star(now), "edges")
+        made = written(_small_star(large), "edges")
         before, state = state, _state(made)
         dropped(now)
+        dropped(large)
         now = made
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")

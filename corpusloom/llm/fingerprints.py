@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import let, words_of, written
 
 SHINGLE, BITS, LANE = 5, 64, 127
+#: Distinct queries that may be broadcast.
+SMALL = 5000
 
 
 def shingle_hashes(words: Column, size: int = SHINGLE) -> Column:
@@ -128,11 +130,17 @@ def signed(x: int) -> int:
 
 
 def near_counts(fingerprints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 5) -> DataFrame:
-    """For each distinct ``bits`` of ``queries``: ``n_near``, documents of ``fingerprints`` within ``radius`` bits."""
+    """For each distinct ``bits`` of ``queries``: ``n_near``, documents of ``fingerprints`` within ``radius`` bits.
+
+    The side of the queries is broadcast only if a count shows at most ``SMALL`` of them; beyond that both sides are
+    shuffled by table and key, and adaptive execution splits a key that holds many rows.
+    """
     masks = [signed(m) for m in tables(radius, blocks)]
     keyed = lambda df: df.select("*", F.posexplode(F.array(*[F.col("bits").bitwiseAND(F.lit(m)) for m in masks])).alias("tab", "key"))
+    distinct = queries.select("bits").distinct()
+    few = distinct.limit(SMALL + 1).count() <= SMALL
     everyone = keyed(fingerprints.groupBy("bits").agg(F.count("*").alias("n"))).alias("a")
-    asked = keyed(queries.select("bits").distinct()).alias("q")
+    asked = keyed(distinct).hint("broadcast" if few else "merge").alias("q")
     diff = F.col("a.bits").bitwiseXOR(F.col("q.bits"))
     first = F.array_position(F.array(*[diff.bitwiseAND(F.lit(m)) for m in masks]), F.lit(0).cast("bigint")) - 1
     pairs = asked.join(everyone, (F.col("a.tab") == F.col("q.tab")) & (F.col("a.key") == F.col("q.key")) & (F.bit_count(diff) <= radius) & (first == F.col("q.tab")))

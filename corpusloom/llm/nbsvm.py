@@ -136,7 +136,7 @@ def train(rows: list[np.ndarray], labels: list[int], fit: Fit) -> dict:
         mine, ys = [rows[i] for i in some], y[some]
         r = ratios(mine, ys, fit.smooth)
         w = descend(mine, [scaled(x, r) for x in mine], ys, fit.cost, fit.epochs)
-        mean = np.abs(w[:-1]).mean()
+        mean = np.abs(w[:-1]).sum() / max(1, len(np.unique(np.concatenate(mine))))  # over the n-grams that occur
         w[:-1] = (1 - fit.interpolate) * mean + fit.interpolate * w[:-1]
         return r, w
 

@@ -266,6 +266,7 @@ def repeated(df: DataFrame, view: View) -> DataFrame:
     marks = spans.groupBy("key", "ctx").agg(F.collect_list("r").alias("runs"))
     marks = written(marks.join(contexts.select("key", "ctx", "n"), ["key", "ctx"]), "marks")
     dropped(found)
+    dropped(contexts)
     each = joined(rows, marks, ["key", "ctx"], "n", rows.count())
     return each.select("did", "th", F.floor(F.col("pos") / view.length).alias("lo"), F.explode("runs").alias("r"))
 

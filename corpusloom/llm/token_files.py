@@ -7,7 +7,7 @@ manifest with one row for each shard. A task writes under a name of its own and
 task that runs again replaces its files with the same content.
 
 Defined cases: a null text counts as empty and has the end id alone; repeated rows and repeated ids are all kept,
-next to each other and ordered by text; a row whose id is null comes first, its id is stored as the smallest 64-bit
+next to each other and ordered by a hash of their text; a row whose id is null comes first, its id is stored as the smallest 64-bit
 integer and read back as null; an empty table gives no shards and no rows; other columns are ignored.
 """
 
@@ -80,7 +80,8 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int | None = None, folde
 
     key = F.col(id_column).cast("bigint")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.select(key.alias("id"), F.col(text_column).alias("text")).repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
+    tie = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))  # rows of one id may be dealt to several shards
+    ordered = df.select(key.alias("id"), F.col(text_column).alias("text"), tie.alias("tie")).repartitionByRange(shards, "id", "tie").sortWithinPartitions("id", "tie", "text").drop("tie")
     counts = sorted(tuple(r) for r in ordered.mapInArrow(write, "shard string, docs bigint, tokens bigint, width int").collect())  # a row for each shard
     bases = np.concatenate([[0], np.cumsum([c[2] for c in counts], dtype=np.int64)])
     schema = T.StructType([T.StructField(n, t) for n, t in (("shard", T.StringType()), ("docs", T.LongType()), ("tokens", T.LongType()), ("width", T.IntegerType()), ("base", T.LongType()))])
@@ -103,7 +104,7 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
         def batch(rows: pa.RecordBatch):
             for shard in rows.to_pylist():
                 name = f"{where}/{shard['shard']}"
-                off, doc = np.fromfile(f"{name}.off", dtype="<i8"), np.fromfile(f"{name}.doc", dtype="<i8")
+                off, doc = (np.memmap(f"{name}.{kind}", dtype="<i8", mode="r") for kind in ("off", "doc"))
                 ids = np.memmap(f"{name}.tok", dtype=f"<u{shard['width']}", mode="r") if shard["tokens"] else np.zeros(0, dtype=f"<u{shard['width']}")
                 if len(off) != len(doc) + 1 or off[-1] != len(ids):
                     raise ValueError(f"shard {name} is not whole")

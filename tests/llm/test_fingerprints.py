@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import xxhash
+
 from corpusloom.llm import fingerprints as fp
 from tests.llm.util import WORD, frame, odd_texts
 
@@ -24,6 +26,29 @@ def test_votes_against_brute_force(spark):
         assert r.f % (1 << 64) == slow([h % (1 << 64) for h in lists[r.i]])
 
 
+def slow_hash(shingle):
+    """XXH64 of the words one after another, each seeded by the hash before it."""
+    h = 42
+    for w in shingle:
+        h = xxhash.xxh64_intdigest(w.encode(), h)
+    return h
+
+
+def test_fingerprints_against_an_independent_hash(spark):
+    texts = odd_texts() + [r.text for r in spark.read.parquet(DATA).select("text").collect()][:80]
+    df = frame(spark, texts)
+    for r in df.select("doc_id", fp.fingerprint(df.text).alias("f")).collect():
+        assert r.f % (1 << 64) == slow([slow_hash(s) for s in shingles(texts[r.doc_id])]), texts[r.doc_id]
+
+
+def test_both_joins_of_the_search_agree(spark, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(DATA).select("text").collect()]
+    df = frame(spark, texts + texts[:30])
+    one = sorted((r.doc_id, r.n_near) for r in fp.fingerprint_report(df).where("n_near is not null").collect())
+    monkeypatch.setattr(fp, "SMALL", 0)
+    assert one == sorted((r.doc_id, r.n_near) for r in fp.fingerprint_report(df).where("n_near is not null").collect()) and one
+
+
 def test_report_against_brute_force(spark):
     texts = odd_texts() + [r.text for r in spark.read.parquet(DATA).select("text").collect()]
     ids = [i * 3 - 30 for i in range(len(texts))]

@@ -33,6 +33,60 @@ def test_descent_meets_the_optimum_of_the_hinge_loss():
         assert loss(other) >= best - 1e-3
 
 
+M = (1 << 64) - 1
+
+
+def slow_grams(text):
+    """Slots of a text's n-grams, one at a time."""
+    import re
+
+    import xxhash
+
+    def shape(w):
+        for pattern, by in ((rb"[A-Z]", b"X"), (rb"[a-z]", b"x"), (rb"[0-9]", b"d"), (rb"[\x80-\xff]+", b"u")):
+            w = re.sub(pattern, by, w)
+        return re.sub(rb"(?s)(.)\1+", rb"\1+", w)[:24]
+
+    words = (text or "").encode().split()
+    w = [xxhash.xxh3_64_intdigest(x.lower()) for x in words]
+    s = [(xxhash.xxh3_64_intdigest(shape(x), 7) + (0x51ED270B if i and w[i] == w[i - 1] else 0)) & M for i, x in enumerate(words)]
+    a, b = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+    found = {x * a & M for x in w} | {(x ^ b) * a & M for x in s}
+    found |= {(x * b + y) * a & M for x, y in zip(w, w[1:], strict=False)}
+    pairs = [(x * a + y * b) & M for x, y in zip(s, s[1:], strict=False)]
+    found |= {p * a & M for p in pairs} | {((p * b + z) * b) & M for p, z in zip(pairs, s[2:], strict=False)}
+    return {x >> 64 - nbsvm.BITS for x in found}
+
+
+def test_scores_of_the_query_against_brute_force(spark):
+    """Log-count ratios, the scaled margin and the curve in plain Python, from the labelled rows outside the held-out fold."""
+    import math
+
+    small = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.doc_id in texts}
+    docs = queries.documents(spark, small)
+    frame_of = spark.createDataFrame(list(labels.items()), "doc_id bigint, quality int")
+    model = nbsvm.fitted(docs, frame_of)
+    up, down = {}, {}
+    for d, q in labels.items():
+        for g in slow_grams(texts[d]):
+            counts = up if q == 1 else down
+            counts[g] = counts.get(g, 0) + 1
+    slots = 1 << nbsvm.BITS
+    all_up, all_down = sum(up.values()) + slots, sum(down.values()) + slots
+    r = lambda g: math.log((up.get(g, 0) + 1) / all_up) - math.log((down.get(g, 0) + 1) / all_down)
+    seen = sorted({*up, *down})
+    assert np.allclose(model["r"][seen], [r(g) for g in seen], atol=1e-5)
+    got = {x.doc_id: x.score for x in queries.op3_quality_classifier(spark, small).collect()}
+    assert got.keys() == texts.keys()
+    for d, t in texts.items():
+        grams = slow_grams(t)
+        norm = math.sqrt(sum(r(g) ** 2 for g in grams)) or 1
+        margin = sum(r(g) * float(model["w"][g]) for g in grams) / norm + float(model["w"][-1])
+        assert abs(got[d] - 1 / (1 + math.exp(-(model["a"] * margin + model["b"])))) < 1e-3
+
+
 def test_defined_cases(spark):
     df = frame(spark, odd_texts())
     labels = spark.createDataFrame([(3, 1), (3, 0), (None, 1), (99, 1), (4, None)], "doc_id bigint, quality int")
