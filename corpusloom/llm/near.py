@@ -403,7 +403,7 @@ def linked_by_sets(nodes: DataFrame, radius: int, least: float) -> DataFrame:
         def flush(rows: list[tuple]):
             reach, a, b, own, node, label = (np.array(c, dtype=np.int64) for c in list(zip(*rows, strict=True))[:6])
             prints = np.array([r[6] for r in rows], dtype=np.int64).view(np.uint64)
-            sets = [np.array(r[7], dtype=np.int64) for r in rows]
+            sets = [r[7] for r in rows]
             sizes = np.array(list(map(len, sets)))
             bucket = np.cumsum(np.r_[True, (reach[1:] != reach[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
             across = a != b
@@ -429,7 +429,9 @@ def linked_by_sets(nodes: DataFrame, radius: int, least: float) -> DataFrame:
 
         now = None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            flat, ends = batch.column(7).values.to_numpy(), batch.column(7).offsets.to_numpy()
+            parts = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            for row in zip(*(c.to_pylist() for c in batch.columns[:7]), parts, strict=True):
                 if row[:3] != now:
                     if size >= SHINGLES:
                         yield from flush(held)
