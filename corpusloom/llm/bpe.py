@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 
 from corpusloom.llm.common import map_batches, text_bytes
 
-#: Chunks in each of the two generations of a worker's memo, pieces likewise, and text bytes that are encoded together.
-PIECES = 100_000
-MEMO, BLOCK = 200_000, 1 << 20
+#: Chunks in each of the two generations of a worker's memo (bare ids by the library, ids and text by the pair index),
+#: pieces likewise, and text bytes that are encoded together. The memo stays with the worker from task to task.
+LIBRARY_MEMO, MEMO, PIECES, BLOCK = 400_000, 250_000, 100_000, 1 << 20
 
 
 class Memo:
@@ -169,6 +169,7 @@ class Codec:
                 raise ValueError("the pair index reads added tokens that match the raw text")
             self.merger = PairIndex(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
             self.pieces = Memo(PIECES)
+        self.chunks = Memo(LIBRARY_MEMO if by_library else MEMO)
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.by_library = by_library
         self.ends = np.zeros(max(self.names) + 1, dtype=np.int64)
@@ -291,14 +292,14 @@ def encode_decode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text
     schema += ", ids binary, decoded string" * with_texts
 
     def one():
-        bpe, memo = codec(spec.value), Memo(MEMO)
+        bpe = codec(spec.value)
 
         def batch(rows: pa.RecordBatch):
             texts = text_bytes(rows.column(1))
             counts, id_sums, text_sums, id_bytes, decoded = [], [], [], [], []
             for a, b in blocks(texts):
                 chunks = [t.split() for t in texts[a:b]]
-                get = memo.fill(set().union(*chunks), bpe.encode_chunks).__getitem__
+                get = bpe.chunks.fill(set().union(*chunks), bpe.encode_chunks).__getitem__
                 for words in chunks:
                     ids, text = joined(map(get, words))
                     counts.append(len(ids) // 4)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.bpe import MEMO, Memo, blocks, codec, read_spec
+from corpusloom.llm.bpe import blocks, codec, read_spec
 from corpusloom.llm.common import bounded_batches, map_batches, shared_path, text_bytes
 
 NO_ID = -(1 << 63)
@@ -50,7 +50,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int | None = None, folde
     def write(batches):
         from pyspark import TaskContext
 
-        bpe, memo = codec(spec.value, by_library=True), Memo(MEMO)
+        bpe = codec(spec.value, by_library=True)
         kind = f"<u{bpe.width}"
         end = b"" if end_id is None else np.array([end_id], dtype=kind).tobytes()
         name, own = f"{where}/{TaskContext.get().partitionId():08d}", uuid.uuid4().hex
@@ -65,7 +65,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int | None = None, folde
                 texts = text_bytes(rows.column(1))
                 for a, b in blocks(texts):
                     chunks = [t.split() for t in texts[a:b]]
-                    get = memo.fill(set().union(*chunks), make).__getitem__
+                    get = bpe.chunks.fill(set().union(*chunks), make).__getitem__
                     data = [b"".join(map(get, words)) + end for words in chunks]
                     tok.write(b"".join(data))
                     ends = n + np.cumsum([len(d) // bpe.width for d in data], dtype="<i8")
