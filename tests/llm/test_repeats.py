@@ -103,6 +103,47 @@ def test_both_against_brute_force(spark, monkeypatch, cell):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in rows) == sorted((str(i), *r) for i, r in zip(ids, word_rows(texts, 9), strict=True))
 
 
+def test_blocks_of_windows_are_found_from_the_window_alone():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 3, 2000).astype(np.uint64) + np.uint64(1)
+    lo, hi, at, _ = repeats.contexts(x, 50, 10)
+    anchor = np.repeat(at, hi - lo + 1) - np.arange(len(x) - 49)
+    for width in (1, 6, 41):
+        first, last, a, b, block = repeats.blocks_of(lo, hi, at, width, 50)
+        windows = np.concatenate([np.arange(i, j + 1) for i, j in zip(first, last, strict=True)])
+        assert sorted(windows) == list(range(len(x) - 49))
+        assert (np.repeat(block, last - first + 1) == anchor[windows] // width).all()
+        assert (a >= last).all() and (b <= first + 50).all() and (b - a == 51 - width).all()
+
+
+@pytest.mark.parametrize("kind", ["bytes", "words"])
+def test_a_common_passage_leaves_no_row_for_each_window(spark, monkeypatch, kind):
+    """One passage in 400 texts, and near copies of it: more text than a cell at each of its anchors, yet few rows leave the cells."""
+    monkeypatch.setattr(repeats, "CELL", 4000)
+    rng = random.Random(8)
+    words = lambda n: [f"{rng.randrange(10**5)}" for _ in range(n)]
+    common = words(40)
+    texts = [" ".join(words(30) + common + words(30)) for _ in range(400)]
+    texts += [" ".join(common[:i] + words(1) + common[i + 1 :]) for i in range(40) for _ in range(5)]
+    made, write = {"scan": 0, "found": 0}, repeats.written
+
+    def counted(df, name):
+        out = write(df, name)
+        if name in made:
+            made[name] = max(made[name], out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "written", counted)
+    df = frame(spark, texts)
+    if kind == "bytes":
+        rows = suffixes.dedup_substrings(df, 100).collect()
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == [(i, *r) for i, r in enumerate(byte_rows(texts, 100))]
+    else:
+        rows = phrases.dedup_phrases(df, 20).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in rows) == [(i, *r) for i, r in enumerate(word_rows(texts, 20))]
+    assert made["found"] < made["scan"] / 2
+
+
 def test_contract_lengths_on_documents(spark):
     texts = odd_texts() + [r.text for r in spark.read.parquet(DATA).select("text").orderBy("doc_id").collect()][:120]
     rows = suffixes.dedup_substrings(frame(spark, texts)).collect()
