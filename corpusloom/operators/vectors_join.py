@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions import vectors as V
 from corpusloom.shared import written
 
-#: Vectors of a tile; two tiles are compared in one task.
-TILE = 1024
+#: Vectors of a tile; two tiles are compared in one task, so many rows of one at a time.
+TILE, STRIPE = 4096, 256
+#: Pairs of two tiles that cost about as much as one candidate, which is shuffled and joined with both its vectors.
+CANDIDATE = 100
 
 
 def _tiles(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
@@ -28,40 +31,47 @@ def _tiles(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
 def near_pairs(df: DataFrame, key: str, vector: str, group: str, least: float) -> DataFrame:
     """``i``, ``j`` (i < j) and ``cos`` of all pairs of a class with a cosine of at least ``least``.
 
-    Classes are cut into tiles; a task multiplies two tiles as matrices, so memory is bounded by the tile and a large
-    class is spread over many tasks. All pairs of a class are compared: the join is exact at any ``least``, and the way
-    to go for low ones. For cosines of near duplicates take ``banded_pairs``.
+    Classes are cut into tiles; a task multiplies two tiles as matrices, stripe by stripe, so memory is bounded by the
+    tile, also where all vectors are alike, and a large class is spread over many tasks. All pairs of a class are
+    compared: the join is exact at any ``least``, and the way to go for low ones. For cosines of near duplicates take
+    ``banded_pairs``.
     """
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows["own"].to_numpy()
-        same = rows["a"].iloc[0] == rows["b"].iloc[0]
-        left, right = (rows, rows) if same else (rows[own == rows["a"].iloc[0]], rows[own == rows["b"].iloc[0]])
-        if not len(left) or not len(right):
-            return pd.DataFrame({"i": [], "j": [], "cos": []}).astype({"i": "int64", "j": "int64", "cos": "float64"})
-        x, y = np.stack(left["v"].to_list()).astype(float), np.stack(right["v"].to_list()).astype(float)
-        cos = x @ y.T
-        p, q = np.nonzero(cos >= least)
-        i, j = left["id"].to_numpy()[p], right["id"].to_numpy()[q]
-        keep = i < j if same else i != j
-        i, j, c = i[keep], j[keep], cos[p, q][keep]
-        return pd.DataFrame({"i": np.minimum(i, j), "j": np.maximum(i, j), "cos": c})
-
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [(rows["a"].iloc[0], rows["b"].iloc[0], rows["own"].to_numpy(), rows["id"].to_numpy(), np.stack(rows["v"].to_list()).astype(float)) for rows in batches if len(rows)]
+        a, b = parts[0][:2]
+        own, ids, v = (np.concatenate([p[k] for p in parts]) for k in (2, 3, 4))
+        (left, x), (right, y) = ((ids[own == o], v[own == o]) for o in (a, b))
+        for at in range(0, len(left), STRIPE):
+            cos = x[at : at + STRIPE] @ y.T
+            p, q = np.nonzero(cos >= least)
+            i, j = left[at + p], right[q]
+            keep = i < j if a == b else i != j
+            i, j, c = i[keep], j[keep], cos[p, q][keep]
+            yield pd.DataFrame({"i": np.minimum(i, j), "j": np.maximum(i, j), "cos": c})
+
+    kind = df.schema[key].dataType.simpleString()
     cells = _tiles(df.where(F.col(vector).isNotNull()), key, vector, group)
-    return cells.groupBy("g", "a", "b").applyInPandas(compare, "i long, j long, cos double")
+    return cells.groupBy("g", "a", "b").applyInPandas(compare, f"i {kind}, j {kind}, cos double")
 
 
 def banded_pairs(df: DataFrame, key: str, vector: str, group: str, least: float, recall: float = 0.9999, bits: int = 16) -> DataFrame:
-    """As ``near_pairs`` for a high ``least``, without comparing all vectors of a class.
+    """As ``near_pairs`` for a high ``least``, without comparing all vectors of a class where that saves work.
 
     Candidates share the signs of ``bits`` random hyperplanes in one of several tables; their cosine is then exact. A
     pair at ``least`` agrees in one sign with probability ``1 - acos(least) / pi``; the number of tables follows from the
     ``recall`` that such a pair must have, closer pairs have more. Only ids and table keys are paired; vectors are
     joined to the distinct candidates.
+
+    Few bits put most pairs into some bucket, and a group of copies shares a bucket in every table. A class with more
+    than one candidate for ``CANDIDATE`` of its pairs is therefore left to ``near_pairs``, which misses nothing: what is
+    shuffled for a class never outgrows its pairs.
     """
     rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(group).alias("g"))
     agree = (1 - math.acos(least) / math.pi) ** bits
     tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree)))
+    if tables * CANDIDATE >= 2**bits:  # so many candidates come from vectors that have nothing in common
+        return near_pairs(df, key, vector, group, least)
 
     def sign(batches):
         planes = None
@@ -76,11 +86,18 @@ def banded_pairs(df: DataFrame, key: str, vector: str, group: str, least: float,
             yield pd.DataFrame({"id": np.repeat(rows["id"].to_numpy(), tables), "g": np.repeat(rows["g"].to_numpy(), tables), "t": np.tile(np.arange(tables), len(x)), "k": keys.ravel()})
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    keyed = rows.mapInPandas(sign, f"id {kinds['id']}, g {kinds['g']}, t int, k long")
+    keyed = written(rows.mapInPandas(sign, f"id {kinds['id']}, g {kinds['g']}, t int, k long"), "bands")
+    n = F.col("n")
+    buckets = keyed.groupBy("g", "t", "k").agg(F.count("*").cast("double").alias("n"))
+    classes = buckets.groupBy("g").agg(F.sum(n * (n - 1)).alias("_c"), F.sum(F.when(F.col("t") == 0, n)).alias("n"))
+    dense = written(classes.where(F.col("_c") * CANDIDATE > n * (n - 1)).select(F.col("g").alias("_dense")), "dense")
+    is_dense = F.col("g").eqNullSafe(F.col("_dense"))
+    whole = near_pairs(rows.join(dense, is_dense, "left_semi"), "id", "v", "g", least)
+    keyed = keyed.join(dense, is_dense, "left_anti")
     other = keyed.select(F.col("id").alias("j"), F.col("g").alias("h"), F.col("t").alias("u"), F.col("k").alias("l"))
     pairs = keyed.join(other, F.col("g").eqNullSafe(F.col("h")) & (F.col("t") == F.col("u")) & (F.col("k") == F.col("l")) & (F.col("id") < F.col("j"))).select(F.col("id").alias("i"), "j").distinct()
     both = pairs.join(rows.select(F.col("id").alias("i"), F.col("v").alias("a")), "i").join(rows.select(F.col("id").alias("j"), F.col("v").alias("b")), "j")
-    return both.select("i", "j", V.dot(F.col("a"), F.col("b")).alias("cos")).where(F.col("cos") >= least)
+    return both.select("i", "j", V.dot(F.col("a"), F.col("b")).alias("cos")).where(F.col("cos") >= least).union(whole)
 
 
 def neighbour_counts(df: DataFrame, key: str, vector: str, group: str, least: float) -> DataFrame:

@@ -1,9 +1,11 @@
 """Operators on small fixtures, sources and sinks, plans, streaming."""
 
 import json
+import math
 import zipfile
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,24 @@ def test_near_pairs_and_tiles(spark, monkeypatch):
     assert {(r.i, r.j) for r in vectors_join.near_pairs(e, "vec_id", "embedding", "label", 0.3).collect()} == want and len(want) > 20
 
 
+def test_banding_leaves_dense_classes_to_tiles(spark, monkeypatch):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    want = {(r.i, r.j): r.cos for r in vectors_join.near_pairs(e, "vec_id", "embedding", "label", 0.3).collect()}
+    monkeypatch.setattr(vectors_join, "STRIPE", 3)
+    few = vectors_join.banded_pairs(e, "vec_id", "embedding", "label", 0.3, recall=0.5, bits=4)  # one bucket in 16: no pair is missed for that
+    assert {(r.i, r.j): r.cos for r in few.collect()} == pytest.approx(want) and len(want) > 20
+    copies = [(f"c{k}", [1.0, 0.0] if k < 40 else [0.8, 0.6], "copies") for k in range(80)]
+    lone = [(f"l{k}", [math.cos(k), math.sin(k)], None) for k in range(3)] + [("m0", [math.cos(0), math.sin(0)], None)]
+    rows = spark.createDataFrame(copies + lone, "id string, v array<double>, g string")
+    got = [(r.i, r.j) for r in vectors_join.banded_pairs(rows, "id", "v", "g", 0.75, recall=0.01, bits=24).collect()]
+    assert len(got) == len(set(got)) == 80 * 79 // 2 + 1 and ("l0", "m0") in got and all(i < j for i, j in got)
+    v = np.random.default_rng(5).standard_normal((300, 64))
+    v = np.vstack([v, v[:1] + 0.02]) / np.linalg.norm(np.vstack([v, v[:1] + 0.02]), axis=1)[:, None]
+    wide = spark.createDataFrame([(k, x.tolist(), "wide") for k, x in enumerate(v)] + [(k, [1.0] + [0.0] * 63, "copies") for k in range(1000, 1050)], "id long, v array<double>, g string")
+    want = {(0, 300)} | {(i, j) for i in range(1000, 1050) for j in range(i + 1, 1050)}
+    assert {(r.i, r.j) for r in vectors_join.banded_pairs(wide, "id", "v", "g", 0.93).collect()} == want
+
+
 def test_fuzzy_rekey(spark):
     seeds = spark.createDataFrame([("I’m ready – let’s go",), ("день рождения сегодня вечером",), ("день рождения сегодня вечерам",)], "t string")
     rows = spark.createDataFrame([(1, "I'm ready - let's go"), (2, "ден рождения сегодня вечером"), (3, None), (4, "мимо")], "id int, t string")
