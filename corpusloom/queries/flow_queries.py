@@ -42,7 +42,7 @@ def json_lines_tolerant(spark, sf):
 def seed_lines(spark, sf):
     path = f"{shared_path(spark, 'seeds')}.txt"
     lines = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, " ").otherwise(F.concat(F.lit("  "), "p_name", F.lit(" "))).alias("value"))
-    writers.single_file(lines.orderBy("p_partkey").select("value"), path, "text")
+    lines.orderBy("p_partkey").select("value").write.text(path)
     return readers.seeds(spark, path).select("line", "seed")
 
 
@@ -57,7 +57,7 @@ def first_seeds(spark, sf):
 def final_batches_with_file(spark, sf):
     folder, docs = shared_path(spark, "batches"), table(spark, sf, "documents").select("doc_id", "text", "lang")
     for name, lang in (("batch_1.jsonl", "en"), ("batch_2.jsonl", "de"), ("batch_1_dropped.jsonl", "fr"), ("batch_2_prefilter.jsonl", "es")):
-        writers.single_file(docs.where(F.col("lang") == lang), f"{folder}/{name}")
+        writers.json_lines(docs.where(F.col("lang") == lang), f"{folder}/{name}")
     return readers.final_batches(readers.with_file(readers.json_lines(spark, f"{folder}/*.jsonl", DOCUMENT))).select("doc_id", "_batch_file")
 
 

@@ -22,9 +22,20 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: str, strict:
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
+#: Path of a part that one Spark task wrote: its folder is the file, so called and with an extension.
+PART = r"^(.*/([^/]+\.[^/.]+))/part-\d{5,}-[0-9a-f-]{36}[^/]*$"
+
+
+def whole_file(group: int = 2) -> Column:
+    """Name (or path: 1) of the file that a row comes from; a folder of parts, as several tasks write it, counts as one file."""
+    whole = F.regexp_extract(F.col("_metadata.file_path"), PART, group)
+    plain = F.url_decode(F.replace(whole, F.lit("+"), F.lit("%2B")))
+    return F.when(whole != "", plain if group == 2 else whole).otherwise(F.col(f"_metadata.file_{'name' if group == 2 else 'path'}"))
+
+
 def with_file(df: DataFrame, column: str = "_batch_file") -> DataFrame:
     """Adds the name of the file that a row comes from."""
-    return df.withColumn(column, F.col("_metadata.file_name"))
+    return df.withColumn(column, whole_file())
 
 
 #: Fixed value: names of intermediate files that are no final batches.
@@ -39,12 +50,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file``, ``line`` (from 1) and ``value`` of text files.
 
     Files are read in blocks like any other text: lines are numbered within their block, and a prefix sum over the
-    blocks' counts, one row for each block, gives the number in the file.
+    blocks' counts, one row for each block, gives the number in the file. The parts of a folder follow each other.
     """
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
+    rows = spark.read.text(path).select(whole_file(1).alias("_whole"), whole_file().alias("file"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
     rows = rows.withColumn("_in", F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_at")))
-    counts = rows.groupBy("_path", "_block").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    counts = rows.groupBy("_whole", "_path", "_block").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_whole").orderBy(F.length("_path"), "_path", "_block").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_path", "_block", F.coalesce(before, F.lit(0)).alias("_start"))
     return rows.join(starts, ["_path", "_block"]).select("file", (F.col("_start") + F.col("_in")).alias("line"), "value")
 

@@ -56,7 +56,10 @@ def saved_table(df: DataFrame, name: str) -> None:
 
 
 def single_file(df: DataFrame, path: str, kind: str = "json") -> None:
-    """One file with a name of its own, as batches and reports have it: a small result, written by one task and renamed."""
+    """One file with a name of its own, as lists and reports have it: a small result, written by one task and renamed.
+
+    What grows with the corpus is written as a folder of that name; readers take its parts as one file.
+    """
     spark = df.sparkSession
     aside, files = file_system(spark, f"{path}.parts")
     df.coalesce(1).write.mode("overwrite").format(kind).save(f"{path}.parts")

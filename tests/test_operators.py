@@ -204,6 +204,23 @@ def test_lines_are_numbered_over_blocks(spark, tmp_path):
     assert got == {("a.txt", i + 1): f"line {i}" for i in range(5000)} | {("b.txt", 1): "x", ("b.txt", 2): "", ("b.txt", 3): "y"}
 
 
+def test_files_of_several_tasks_are_one_file(spark, tmp_path):
+    from corpusloom.queries import queries
+
+    rows = spark.range(90).select(F.col("id").alias("a"))
+    for name in ("b 1.v2+ü%20.jsonl", "b_dropped.jsonl"):
+        writers.json_lines(rows.repartition(3), f"{tmp_path}/b/{name}")
+    (tmp_path / "b" / "part-1.jsonl").write_text('{"a": 90}\n')
+    got = readers.final_batches(readers.with_file(readers.json_lines(spark, f"{tmp_path}/b/*.jsonl", "a bigint"))).collect()
+    assert sorted((r.a, r._batch_file) for r in got) == [(i, "b 1.v2+ü%20.jsonl") for i in range(90)] + [(90, "part-1.jsonl")]
+    rows.repartitionByRange(3, "a").sortWithinPartitions("a").select(F.col("a").cast("string").alias("value")).write.text(f"{tmp_path}/lines.txt")
+    lines = readers.numbered_lines(spark, f"{tmp_path}/lines.txt").collect()
+    assert sorted((r.line, r.value, r.file) for r in lines) == [(i + 1, str(i), "lines.txt") for i in range(90)]
+    made = queries()["final_batches_with_file"](spark, "/root/testdata/sf0.001")
+    parts = Counter(f.rsplit("/", 2)[1] for f in made.inputFiles())
+    assert parts["batch_1.jsonl"] > 1 and parts["batch_2.jsonl"] > 1  # no task writes a whole batch
+
+
 def test_alignment(spark):
     ru = spark.createDataFrame([("v", 1.0, 2.0, "a"), ("v", 2.1, 3.0, "b"), ("v", 10.0, 11.0, "c")], "video string, start double, end double, text string")
     en = spark.createDataFrame([("v", 1.0, 3.0, "ab"), ("v", 10.0, 11.0, "c")], "video string, start double, end double, text string")
